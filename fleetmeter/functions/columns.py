@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 from fleetmeter.functions.dates import REPORT_TZ
 
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+MINUTE = 60_000_000  # microseconds
+DAY = 24 * 60 * MINUTE
 
 
 # --- numbers ---------------------------------------------------------------
@@ -64,14 +68,54 @@ def utc_text_to_local(c: Column, tz: str = REPORT_TZ) -> Column:
 
 
 def epoch_to_local(seconds: Column, tz: str = REPORT_TZ) -> Column:
-    utc = F.expr(EPOCH) + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
-    )
+    utc = F.expr(EPOCH) + F.expr("INTERVAL '1' SECOND") * seconds
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 
-def seconds_since_epoch(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.expr(EPOCH), ts)
+def local_day(
+    seconds: Column, start: dt.date, end: dt.date, tz: str = REPORT_TZ
+) -> Column:
+    """Local date of an epoch time, null outside ``start`` to ``end``.
+
+    While the zone keeps one offset over the range, whole days are counted from the
+    first midnight. Only a range with a change of clocks converts each time.
+    """
+    zone = ZoneInfo(tz)
+    midnights = [
+        dt.datetime.combine(start + dt.timedelta(days=n), dt.time(), zone)
+        for n in range((end - start).days + 2)
+    ]
+    if len({m.utcoffset() for m in midnights}) > 1:
+        day = F.to_date(epoch_to_local(seconds, tz))
+        return F.when(day.between(F.lit(start), F.lit(end)), day)
+    first, stop = (round(m.timestamp()) * 1_000_000 for m in (midnights[0], midnights[-1]))
+    micros = F.rint(seconds * 1_000_000).cast("bigint")
+    nth = whole_div(micros - first, DAY).cast("int")
+    return F.when((micros >= first) & (micros < stop), F.date_add(F.lit(start), nth))
+
+
+# Differences of zone-naive times, by their parts: casting to a zoned timestamp
+# would let daylight saving of the session zone in.
+
+
+def micros_of_day(ts: Column) -> Column:
+    minutes = (F.hour(ts) * 60 + F.minute(ts)).cast("bigint")
+    return minutes * MINUTE + (F.date_part(F.lit("SECONDS"), ts) * 1_000_000).cast("bigint")
+
+
+def micros_between(start: Column, end: Column) -> Column:
+    days = F.date_diff(F.to_date(end), F.to_date(start)).cast("bigint")
+    return days * DAY + micros_of_day(end) - micros_of_day(start)
+
+
+def minute_number(ts: Column) -> Column:
+    days = F.unix_date(F.to_date(ts)).cast("bigint")
+    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+
+
+def whole_div(value: Column, by: int) -> Column:
+    """Integer division; for values that are not negative."""
+    return F.call_function("div", value, F.lit(by).cast("bigint"))
 
 
 # --- text, tags and JSON ---------------------------------------------------

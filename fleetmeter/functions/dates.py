@@ -28,6 +28,12 @@ def yesterday(now: dt.datetime, tz: str = REPORT_TZ) -> dt.date:
     return now.astimezone(ZoneInfo(tz)).date() - dt.timedelta(days=1)
 
 
+def utc_midnight(day: dt.date, tz: str = REPORT_TZ) -> dt.datetime:
+    """The start of a local day, as zone-naive UTC."""
+    local = dt.datetime.combine(day, dt.time(), ZoneInfo(tz))
+    return local.astimezone(dt.UTC).replace(tzinfo=None)
+
+
 def previous_week(end: str | dt.date) -> tuple[dt.date, dt.date]:
     """The ISO week before the one ``end`` is in, as ``[Monday, next Monday)``."""
     stop = monday(end)

@@ -14,17 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _is_object(value: Column) -> Column:
-    return F.startswith(F.schema_of_variant(value), F.lit("OBJECT"))
+def _read(entry: Column) -> Column:
+    """``usable`` is false for an entry that is not an object; ``n`` is its count.
 
-
-def _read(config: Column, key: Column) -> Column:
-    """``usable`` is false for an entry that is not an object; ``n`` is its count."""
-    entry_path = F.concat(F.lit("$['"), key, F.lit("']"))
-    entry = F.try_variant_get(config, entry_path, "variant")
-    number = F.try_variant_get(config, F.concat(entry_path, F.lit(".value")), "bigint")
+    The type of the entry is only looked at when no count was found in it.
+    """
+    number = F.try_variant_get(entry, "$.value", "bigint")
+    is_object = F.startswith(F.schema_of_variant(entry), F.lit("OBJECT"))
     return F.struct(
-        (entry.isNull() | _is_object(entry)).alias("usable"),
+        (number.isNotNull() | entry.isNull() | is_object).alias("usable"),
         F.coalesce(number, F.lit(0).cast("bigint")).alias("n"),
     )
 
@@ -37,31 +35,31 @@ def with_gpu_count(runs: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("gpu_key").alias("_gpu_key"),
         F.coalesce("multiplier", F.lit(1)).cast("bigint").alias("_multiplier"),
     )
-    own = F.col("gpu_count")
-    parsed = F.when(F.col("_node_keys").isNotNull(), F.try_parse_json("config"))
-    config = F.col("_config")
-
+    # Null for text that is not a JSON object, and where no rule asks for it.
+    entries = F.when(
+        F.col("_node_keys").isNotNull(), F.from_json("config", "map<string,variant>")
+    )
     # The first entry that settles the node count: one that is not usable, or is not 0.
-    reads = F.transform("_node_keys", lambda key: _read(config, key))
-    decisive = F.filter(reads, lambda r: ~r["usable"] | (r["n"] != 0))
-    nodes = F.get(decisive, 0)
-    gpus = _read(config, F.col("_gpu_key"))
-
+    reads = F.transform("_node_keys", lambda key: _read(F.try_element_at("_entries", key)))
+    nodes = F.get(F.filter(reads, lambda r: ~r["usable"] | (r["n"] != 0)), 0)
+    gpus = _read(F.try_element_at("_entries", F.col("_gpu_key")))
     return (
         runs.join(rules, "team", "left")
-        .withColumn("_config", parsed)
-        .withColumn("_nodes", F.when(config.isNotNull(), nodes))
-        .withColumn("_gpus", F.when(config.isNotNull() & F.col("_gpu_key").isNotNull(), gpus))
+        .withColumn("_entries", entries)
+        .withColumn("_nodes", F.when(F.col("_entries").isNotNull(), nodes))
+        .withColumn("_gpus", F.when(F.col("_gpu_key").isNotNull(), gpus))
         .withColumn(
             "gpu_count",
-            F.when(F.col("_node_keys").isNull() | config.isNull() | ~_is_object(config), own)
-            .when(~F.coalesce("_nodes.usable", F.lit(True)), own)
-            .when(~F.coalesce("_gpus.usable", F.lit(True)), own)
-            .otherwise(
+            F.when(
+                F.col("_entries").isNull()
+                | ~F.coalesce("_nodes.usable", F.lit(True))
+                | ~F.coalesce("_gpus.usable", F.lit(True)),
+                F.col("gpu_count"),
+            ).otherwise(
                 F.coalesce("_nodes.n", F.lit(0).cast("bigint"))
                 * F.coalesce("_gpus.n", F.lit(1).cast("bigint"))
                 * F.col("_multiplier")
             ),
         )
-        .drop("_node_keys", "_gpu_key", "_multiplier", "_config", "_nodes", "_gpus")
+        .drop("_node_keys", "_gpu_key", "_multiplier", "_entries", "_nodes", "_gpus")
     )

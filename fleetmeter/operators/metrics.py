@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetmeter.functions.columns import epoch_to_local, nan_to_null
+from fleetmeter.functions.columns import local_day, nan_to_null
 from fleetmeter.functions.dates import REPORT_TZ, as_date
 
 # Names of the device metrics in a wide export.
@@ -97,10 +97,8 @@ def metrics_daily(
     """
     wide = "metric" not in samples.columns
     partials = _wide_partials(samples) if wide else _long_partials(samples)
-    day = F.to_date(epoch_to_local(F.col("_timestamp"), tz))
-    in_range = day.between(F.lit(as_date(start)), F.lit(as_date(end)))
     per_day = (
-        partials.withColumn("date", F.when(in_range, day))
+        partials.withColumn("date", local_day(F.col("_timestamp"), as_date(start), as_date(end), tz))
         .groupBy("run_path", "date")
         .agg(
             F.count(F.lit(1)).alias("samples"),

@@ -8,13 +8,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetmeter.functions.columns import lower_tags_overlap, tags_to_json, utc_text_to_local
-from fleetmeter.functions.dates import REPORT_TZ, as_date
+from fleetmeter.functions.columns import (
+    DAY,
+    MINUTE,
+    lower_tags_overlap,
+    micros_between,
+    micros_of_day,
+    tags_to_json,
+    utc_text_to_local,
+    whole_div,
+)
+from fleetmeter.functions.dates import REPORT_TZ, as_date, utc_midnight
 from fleetmeter.schemas import RUN_DAY_COLUMNS
 
-MINUTE = 60_000_000  # microseconds
-DAY = 24 * 60 * MINUTE
-
 
 def project_matches(project: Column, include: Column, ignore: Column) -> Column:
     """An include pattern decides alone; otherwise the ignore pattern must not match."""
@@ -79,11 +85,17 @@ def valid_runs(
     """
     first, last = as_date(start), as_date(end)
     if validate:
-        # Same-format ISO text sorts by time. A day of slack covers every zone, so
-        # this only prunes files and row groups; the exact test is below.
+        begins = utc_midnight(first, tz)
+        stops = utc_midnight(last + dt.timedelta(days=1), tz)
+        created, updated = F.to_timestamp_ntz("createdAt"), F.to_timestamp_ntz("heartbeatAt")
         nodes = nodes.where(
-            (F.col("heartbeatAt") >= (first - dt.timedelta(days=1)).isoformat())
-            & (F.col("createdAt") < (last + dt.timedelta(days=2)).isoformat())
+            # ISO text sorts by time. These two tests, a day wider than the exact ones
+            # below, are left to the scan, which skips files and row groups by them.
+            (F.col("heartbeatAt") >= (begins - dt.timedelta(days=1)).date().isoformat())
+            & (F.col("createdAt") < (stops + dt.timedelta(days=1)).date().isoformat())
+            & (updated >= F.lit(str(begins)).cast("timestamp_ntz"))
+            & (created < F.lit(str(stops)).cast("timestamp_ntz"))
+            & (created != updated)
             & (F.length("runInfo.gpu") > 0)
             & ~lower_tags_overlap(F.col("tags"), ignore_tags)
         )
@@ -93,13 +105,9 @@ def valid_runs(
         .where(project_matches(F.col("project"), F.col("include_regex"), F.col("ignore_regex")))
     )
     if validate:
-        created, updated = F.to_date("created_at"), F.to_date("updated_at")
         runs = runs.where(
-            (F.col("created_at") != F.col("updated_at"))
-            & (updated >= F.lit(first))
-            & (created <= F.lit(last))
-            & (updated >= F.col("start_date"))
-            & (created <= F.col("end_date"))
+            (F.to_date("updated_at") >= F.col("start_date"))
+            & (F.to_date("created_at") <= F.col("end_date"))
         )
     return runs.drop("start_date", "end_date", "ignore_regex", "include_regex")
 
@@ -115,30 +123,25 @@ def spread_over_days(runs: DataFrame, start: str | dt.date, end: str | dt.date)
     from_day = F.greatest(F.to_date(created), F.lit(as_date(start)))
     to_day = F.least(F.to_date(updated), F.lit(as_date(end)))
     days = F.when((created <= updated) & (from_day <= to_day), F.sequence(from_day, to_day))
-
-    midnight = F.col("date").cast("timestamp_ntz")
-    until_day = F.timestamp_diff("MICROSECOND", created, midnight)
-    length = F.timestamp_diff("MICROSECOND", created, updated)
+    # Microseconds from the run's start to the midnights before and after each day.
+    nth_day = F.date_diff("date", F.to_date(created)).cast("bigint")
+    day_start = nth_day * DAY - F.col("_start")
+    first_tick = F.when(nth_day == 0, F.lit(0)).otherwise(_minutes_up(day_start))
+    last_tick = F.least(whole_div(F.col("_length"), MINUTE), _minutes_up(day_start + DAY) - 1)
     return (
-        runs.select("*", F.explode(days).alias("date"))
-        .withColumn("_first", F.greatest(_minutes_up(until_day), F.lit(0).cast("bigint")))
-        .withColumn(
-            "_last", F.least(_minutes_down(length), _minutes_up(until_day + F.lit(DAY)) - 1)
+        runs.withColumns(
+            {"_start": micros_of_day(created), "_length": micros_between(created, updated)}
         )
-        .where(F.col("_last") >= F.col("_first"))
-        .withColumn("duration_hour", (F.col("_last") - F.col("_first") + 1) / F.lit(60.0))
-        .drop("_first", "_last")
+        .select("*", F.explode(days).alias("date"))
+        .withColumn("_ticks", last_tick - first_tick + 1)
+        .where(F.col("_ticks") > 0)
+        .withColumn("duration_hour", F.col("_ticks") / F.lit(60.0))
+        .drop("_start", "_length", "_ticks")
     )
 
 
-def _minutes_down(micros: Column) -> Column:
-    """Whole minutes in a length that is not negative."""
-    return F.call_function("div", micros, F.lit(MINUTE).cast("bigint"))
-
-
 def _minutes_up(micros: Column) -> Column:
-    """Minutes rounded up; anything below zero gives at most zero."""
-    return _minutes_down(micros + F.lit(MINUTE - 1))
+    return whole_div(micros + (MINUTE - 1), MINUTE)
 
 
 def split_run_path(df: DataFrame) -> DataFrame:

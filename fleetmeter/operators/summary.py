@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from fleetmeter.functions.columns import (
     json_tags_overlap,
-    seconds_since_epoch,
+    minute_number,
+    whole_div,
     whole_minutes,
 )
 from fleetmeter.functions.dates import previous_week
@@ -22,53 +23,34 @@ PROJECT = ["company_name", "project"]
 
 
 def with_previous_update(
-    rows: DataFrame, keys: Sequence[str], ties: Sequence[str], slice_seconds: int = 60
+    rows: DataFrame, keys: Sequence[str], ties: Sequence[str], slice_minutes: int = 1
 ) -> DataFrame:
     """Add ``prev_updated_at``: ``updated_at`` of the row before, by ``created_at`` and
     ``ties``, among the rows with equal ``keys``. Null keys are equal.
 
     A plain window would put all rows of a busy host into one task. Here the rows of
-    a key are cut into slices of their start time. Each slice is ordered by itself;
-    only its last ``updated_at`` goes on to the next slice that has rows. A task
-    holds one slice, or one row per slice of one key.
+    a key are first ordered within slices of their start time. Then only the first
+    and last rows of the slices are ordered across slices, which hands the last row
+    of a slice on to the next slice that has rows. So a task holds one slice, or at
+    most two rows per slice of a key.
     """
-    names = [f"_key{i}" for i in range(len(keys))]
-    sliced = rows.withColumns(
-        {
-            # A text that is never null, so that null keys meet in an ordinary join.
-            **{
-                n: F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit(""))
-                for n, k in zip(names, keys, strict=True)
-            },
-            "_slice": F.floor(seconds_since_epoch(F.col("created_at")) / slice_seconds),
-        }
-    )
-    in_slice = Window.partitionBy(*names, "_slice").orderBy("created_at", *ties)
-    ordered = sliced.withColumns(
+    in_slice = Window.partitionBy(*keys, "_slice").orderBy("created_at", *ties)
+    sliced = rows.withColumn(
+        "_slice", whole_div(minute_number(F.col("created_at")), slice_minutes)
+    ).withColumns(
         {
             "_before": F.lag("updated_at").over(in_slice),
             "_first": F.row_number().over(in_slice) == 1,
             "_last": F.lead("created_at").over(in_slice).isNull(),
         }
     )
-    carried = (
-        ordered.where("_last")
-        .select(*names, "_slice", "updated_at")
-        .withColumn(
-            "_carried",
-            F.lag("updated_at").over(Window.partitionBy(*names).orderBy("_slice")),
-        )
-        .where(F.col("_carried").isNotNull())
-        .drop("updated_at")
-    )
-    return (
-        ordered.join(carried, [*names, "_slice"], "left")
-        .withColumn(
-            "prev_updated_at",
-            F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_before")),
-        )
-        .drop(*names, "_slice", "_before", "_first", "_last", "_carried")
-    )
+    # Rows inside a slice keep its number as their group and need no further order.
+    sliced = sliced.withColumn("_inner", F.when(~F.col("_first") & ~F.col("_last"), F.col("_slice")))
+    across = Window.partitionBy(*keys, "_inner").orderBy("created_at", *ties)
+    return sliced.withColumn(
+        "prev_updated_at",
+        F.when(F.col("_first"), F.lag("updated_at").over(across)).otherwise(F.col("_before")),
+    ).drop("_slice", "_before", "_first", "_last", "_inner")
 
 
 def _overlaps() -> Column:

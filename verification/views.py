@@ -111,7 +111,7 @@ def wide_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly samples of two devices: four per run, or a single one."""
     samples = table(spark, sf_dir, "events").selectExpr(
         f"concat_ws('/', {TEAM}, event_type, concat('r', event_id)) as run_path",
-        "unix_micros(cast(ts as timestamp)) / 1000000.0D as _start",
+        "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) / 1000000.0D as _start",
         "event_id",
         "explode(sequence(0L, case when event_id % 13 = 0 then 0L else 3L end)) as k",
     )
