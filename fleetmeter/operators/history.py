@@ -52,19 +52,17 @@ def update_history(
 ) -> DataFrame:
     """Merge ``new`` into the history table at ``path`` and return the whole history.
 
-    New rows lie between ``start`` and ``end``, so only those date partitions are
-    read, merged and replaced; the rest of the history is not touched. The merged
-    rows are materialised in the shared folder first, as they are read from
-    partitions about to be replaced. Days of the range without rows stay as they are.
+    New rows lie between ``start`` and ``end`` (one that does not is an error), so
+    only those date partitions are read, merged and replaced; the rest of the
+    history is not touched. The merged rows are materialised in the shared folder
+    first, as they come from the partitions about to be replaced.
     """
     between = F.col("date").between(F.lit(as_date(start)), F.lit(as_date(end)))
-    if table_exists(spark, path):
-        merged = cut_lineage(
-            merge_history(new, read_history(spark, path).where(between)), shared
-        )
-    else:
-        merged = new
-    write_history_days(merged, path)
+    in_range = F.coalesce(between, F.lit(False))
+    outside = F.raise_error(F.concat(F.lit("run day outside the range: "), F.col("date").cast("string")))
+    new = new.where(F.when(in_range, F.lit(True)).otherwise(outside.cast("boolean")))
+    old = read_history(spark, path).where(between) if table_exists(spark, path) else None
+    write_history_days(cut_lineage(merge_history(new, old), shared), path)
     return read_history(spark, path)
 
 
