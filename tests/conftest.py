@@ -21,6 +21,9 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # Whole plans in text, for the plan tests.
+            "spark.sql.debug.maxToStringFields": "1000",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
