@@ -121,10 +121,13 @@ def publish(tables: dict[str, DataFrame], root: str, name: str, by_company: bool
     ``published_by`` names the published run a row belongs to.
     """
     for table, df in tables.items():
+        writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         owner = F.col("company") if by_company else F.lit(OVERALL)
         out = df.withColumn("published_by", F.concat_ws("/", F.lit(name), owner))
         if by_company:
-            out = out.repartition("company")
+            # A fixed number of partitions: AQE would merge these small tables into one
+            # task, which would then write the files of all companies one by one.
+            out = out.repartition(writers, "company")
         writer = out.write.mode("overwrite")
         if by_company:
             writer = writer.partitionBy("company")

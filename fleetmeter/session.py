@@ -17,6 +17,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Without the Python line of each column expression in error messages, plans of
+    # this size are built in about half the time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
