@@ -1,11 +1,16 @@
-"""Daily usage facts: the one pass over the history that every report is built from."""
+"""Daily usage facts, which every report is built from."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetmeter.functions.columns import month_key, nan_to_null, shifted_week, sunday_week, whole_minutes
+from fleetmeter.functions.columns import (
+    nan_to_null,
+    shifted_week,
+    sunday_week,
+    whole_minutes,
+)
 
 
 def with_company(run_days: DataFrame, teams: DataFrame) -> DataFrame:
@@ -17,40 +22,39 @@ def with_company(run_days: DataFrame, teams: DataFrame) -> DataFrame:
 
 
 def usage_facts(run_days: DataFrame, teams: DataFrame) -> DataFrame:
-    """Additive usage per company and day.
+    """Additive usage per company and day, for the reports of all periods.
 
     Sums are kept in minutes, where they are exact. Runs are counted where they
-    appear first: ``day_runs`` counts a run on each of its days, ``week_runs`` only
-    on its first day in a week, and so on. Distinct runs of any period are then
-    plain sums of these columns, so the history is shuffled once, by run, for the
-    reports of all periods.
+    appear first (see ``first_days``), so that the distinct runs of any period are
+    sums too. Only the run counts need a shuffle by run, of three columns; without
+    them, as for GPU hours, that part drops out of the plan.
     """
+    rows = with_company(run_days, teams).where(F.col("company").isNotNull())
     minutes = whole_minutes(F.col("duration_hour"))
     utilization, memory = F.col("average_gpu_utilization"), F.col("average_gpu_memory")
-    rows = (
-        with_company(run_days, teams)
-        .where(F.col("company").isNotNull())
-        .select(
-            "company",
-            "date",
-            "run_id",
-            (minutes * F.col("gpu_count")).alias("gpu_minutes"),
-            F.when(utilization.isNotNull(), minutes).alias("metric_minutes"),
-            (utilization * minutes).alias("utilization_minutes"),
-            (memory * minutes).alias("memory_minutes"),
-            nan_to_null(F.col("max_gpu_utilization")).alias("max_gpu_utilization"),
-            nan_to_null(F.col("max_gpu_memory")).alias("max_gpu_memory"),
-        )
+    sums = rows.groupBy("company", "date").agg(
+        F.sum(minutes * F.col("gpu_count")).alias("gpu_minutes"),
+        F.sum(F.when(utilization.isNotNull(), minutes)).alias("metric_minutes"),
+        F.sum(utilization * minutes).alias("utilization_minutes"),
+        F.sum(memory * minutes).alias("memory_minutes"),
+        F.max(nan_to_null(F.col("max_gpu_utilization"))).alias("max_gpu_utilization"),
+        F.max(nan_to_null(F.col("max_gpu_memory"))).alias("max_gpu_memory"),
     )
+    return sums.join(first_days(rows), ["company", "date"], "left")
+
+
+def first_days(rows: DataFrame) -> DataFrame:
+    """Runs per company and day: ``day_runs`` counts a run on each of its days,
+    ``week_runs`` on its first day in a week only, and so on up to ``all_runs``.
+
+    A null run id is a run of its own.
+    """
     before = F.lag("date").over(Window.partitionBy("company", "run_id").orderBy("date"))
-    sums = ["gpu_minutes", "metric_minutes", "utilization_minutes", "memory_minutes"]
     return (
-        rows.withColumn("_before", before)
+        rows.select("company", "date", "run_id")
+        .withColumn("_before", before)
         .groupBy("company", "date")
         .agg(
-            *[F.sum(c).alias(c) for c in sums],
-            F.max("max_gpu_utilization").alias("max_gpu_utilization"),
-            F.max("max_gpu_memory").alias("max_gpu_memory"),
             _first_in(lambda d: d).alias("day_runs"),
             _first_in(shifted_week).alias("week_runs"),
             _first_in(sunday_week).alias("aligned_week_runs"),

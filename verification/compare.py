@@ -49,8 +49,8 @@ def difference(spark, connection, sf_dir: str, name: str) -> str | None:
         return f"columns {sorted(df.columns)} and {sorted(columns)}"
     if mine == other:
         return None
-    only_mine = [r for r in mine if r not in set(other)]
-    only_other = [r for r in other if r not in set(mine)]
+    only_mine = sorted(set(mine) - set(other), key=str)
+    only_other = sorted(set(other) - set(mine), key=str)
     return (
         f"{len(mine)} and {len(other)} rows; {len(only_mine)} only in Spark, "
         f"{len(only_other)} only in DuckDB\n  {only_mine[:2]}\n  {only_other[:2]}"

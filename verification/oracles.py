@@ -510,6 +510,15 @@ FINALS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
 }
 
+# What was written must come back whole.
+for _sink, _source in {
+    "csv_round_trip": "run_days",
+    "history_update": "merge_history",
+    "weekly_files": "weekly_project_report",
+    "published_daily": "report_daily",
+}.items():
+    FINALS[_sink] = FINALS[_source]
+
 
 def _ordered(names: tuple[str, ...], seen: list[str]) -> list[str]:
     for name in names:

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmeter.operators import calendar, history, metrics, quality, registry, reports, runs, summary
+from fleetmeter.operators import (
+    calendar,
+    history,
+    metrics,
+    quality,
+    registry,
+    reports,
+    runs,
+    summary,
+)
 from fleetmeter.operators.gpu_count import with_gpu_count
 from fleetmeter.operators.usage import usage_facts, with_company
+from fleetmeter.plans.daily import publish
 from fleetmeter.plans.reports import UsageReports
-from fleetmeter.sources import config
+from fleetmeter.plans.weekly import write_weekly_files
+from fleetmeter.session import shared_folder
+from fleetmeter.sources import config, tables
 from verification import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,6 +256,52 @@ def missing_companies(spark, sf_dir):
     )
 
 
+# Sinks, read back. Each run writes to its own place in the shared folder.
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    """A new folder in the cluster's shared folder; a temporary one where none is named."""
+    local = None if spark.conf.get("spark.checkpoint.dir", None) else tempfile.mkdtemp()
+    return f"{shared_folder(spark, local)}/{name}-{uuid.uuid4().hex}"
+
+
+def csv_round_trip(spark, sf_dir):
+    path = tables.write_history_csv(v.run_days(spark, sf_dir), _place(spark, "csv"), v.TARGET)
+    return tables.read_history_csv(spark, path)
+
+
+def history_update(spark, sf_dir):
+    """The first fetch and a later one, merged into a table partitioned by date."""
+    place = _place(spark, "history")
+    path, shared = f"{place}/table", f"{place}/checkpoints"
+    history.update_history(
+        spark, path, v.old_history(spark, sf_dir), v.START, "2024-01-20", shared
+    )
+    return history.update_history(
+        spark, path, v.new_history(spark, sf_dir), "2024-01-15", v.TARGET, shared
+    )
+
+
+def weekly_files(spark, sf_dir):
+    path = write_weekly_files(
+        v.run_days(spark, sf_dir), v.SUMMARY_END, v.IGNORE_TAGS, _place(spark, "weekly")
+    )
+    columns = "project string, `Total hours` double, `Total runs` bigint, "
+    counts = "master_node_runs bigint, overlap_runs bigint, ignore_runs bigint"
+    return (
+        spark.read.schema(columns + counts + ", company_name string")
+        .option("header", True)
+        .option("basePath", path)
+        .csv(path)
+    )
+
+
+def published_daily(spark, sf_dir):
+    root = _place(spark, "published")
+    publish({"daily": _reports(spark, sf_dir).daily()}, root, "Tables", by_company=True)
+    return spark.read.parquet(f"{root}/daily").drop("run", "published_by")
+
+
 QUERIES: dict[str, Query] = {
     "team_dim": team_dim,
     "team_windows": team_windows,
@@ -286,4 +346,8 @@ QUERIES: dict[str, Query] = {
     "health_checks_inactive": health_checks_inactive,
     "health_message": health_message,
     "missing_companies": missing_companies,
+    "csv_round_trip": csv_round_trip,
+    "history_update": history_update,
+    "weekly_files": weekly_files,
+    "published_daily": published_daily,
 }
