@@ -112,6 +112,11 @@ def valid_runs(
     return runs.drop("start_date", "end_date", "ignore_regex", "include_regex")
 
 
+def run_counts(runs: DataFrame) -> DataFrame:
+    """Valid runs per team and project."""
+    return runs.groupBy("team", "project").agg(F.count(F.lit(1)).alias("n_runs"))
+
+
 def spread_over_days(runs: DataFrame, start: str | dt.date, end: str | dt.date) -> DataFrame:
     """Add ``date`` and ``duration_hour``: one row per run and calendar day in the range.
 

@@ -27,7 +27,7 @@ from fleetmeter.plans.reports import UsageReports
 from fleetmeter.schemas import REGISTRY
 from fleetmeter.session import cut_lineage
 from fleetmeter.sources.config import team_table
-from fleetmeter.sources.tables import read_registry, table_exists
+from fleetmeter.sources.tables import read_registry, spread_writers, table_exists
 
 # Periods in the short company tables, and the published names.
 RECENT_DAYS = 30
@@ -121,17 +121,13 @@ def publish(tables: dict[str, DataFrame], root: str, name: str, by_company: bool
     ``published_by`` names the published run a row belongs to.
     """
     for table, df in tables.items():
-        writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         owner = F.col("company") if by_company else F.lit(OVERALL)
         out = df.withColumn("published_by", F.concat_ws("/", F.lit(name), owner))
+        path = f"{root}/{table}/run={name}"
         if by_company:
-            # A fixed number of partitions: AQE would merge these small tables into one
-            # task, which would then write the files of all companies one by one.
-            out = out.repartition(writers, "company")
-        writer = out.write.mode("overwrite")
-        if by_company:
-            writer = writer.partitionBy("company")
-        writer.parquet(f"{root}/{table}/run={name}")
+            spread_writers(out, "company").write.mode("overwrite").partitionBy("company").parquet(path)
+        else:
+            out.write.mode("overwrite").parquet(path)
 
 
 def update_registry(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from fleetmeter.functions.dates import previous_week
 from fleetmeter.operators.summary import weekly_project_report
-from fleetmeter.sources.tables import write_csv
+from fleetmeter.sources.tables import spread_writers, write_csv
 
 
 def write_weekly_files(
@@ -23,7 +23,7 @@ def write_weekly_files(
     report = weekly_project_report(run_days, target, ignore_tags)
     path = f"{root.rstrip('/')}/week_end={week_end}"
     write_csv(
-        report.repartition("company_name").sortWithinPartitions("company_name", "project"),
+        spread_writers(report, "company_name").sortWithinPartitions("company_name", "project"),
         path,
         mode="overwrite",
         partition_by=("company_name",),

@@ -87,11 +87,11 @@ def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
 def write_history_days(df: DataFrame, path: str) -> None:
     """Replace exactly the dates ``df`` holds.
 
-    Rows are spread by date and a run hash, so that a date with very many rows is
-    written by many tasks; AQE splits and merges those partitions by size.
+    Rows are rebalanced by date: AQE splits a date with very many rows over many
+    writers, by size, and lets small dates share one.
     """
     (
-        df.repartition("date", F.pmod(F.xxhash64("company_name", "project", "run_id"), F.lit(64)))
+        df.hint("rebalance", "date")
         .sortWithinPartitions("date", "company_name", "project", "run_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -100,6 +100,15 @@ def write_history_days(df: DataFrame, path: str) -> None:
     )
 
 
+def spread_writers(df: DataFrame, column: str) -> DataFrame:
+    """One writer per value of ``column``, for tables of many small partitions.
+
+    The number of partitions is fixed: AQE would merge such tables into one task,
+    which would then write all files one by one.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), column)
+
+
 def write_history_csv(df: DataFrame, root: str, end: str | dt.date) -> str:
     """A full CSV copy of the history as a new version under ``root``."""
     path = f"{root.rstrip('/')}/version={end}"

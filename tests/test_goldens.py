@@ -14,7 +14,7 @@ from fleetmeter.operators import calendar, quality, reports, runs, summary
 from fleetmeter.operators.gpu_count import with_gpu_count
 from fleetmeter.operators.usage import usage_facts
 from fleetmeter.plans.reports import UsageReports
-from fleetmeter.schemas import COMPANY_CONFIG, GPU_COUNT_RULES, REGISTRY, RUN_DAYS
+from fleetmeter.schemas import COMPANY_CONFIG, GPU_COUNT_RULES, REGISTRY, RUN_DAYS, RUN_NODES
 from fleetmeter.sources import config
 
 D = dt.date.fromisoformat
@@ -44,6 +44,72 @@ def test_run_hours(spark, created, updated, expected):
     }
 
 
+def test_run_path_parts(spark):
+    paths = spark.createDataFrame([("team/some project/r1",)], "run_path string")
+    got = runs.split_run_path(paths).select("company_name", "project", "run_id")
+    assert rows(got) == [("team", "some project", "r1")]
+
+
+def node(name, **more):
+    values = {
+        "team": "t",
+        "project": "p",
+        "name": name,
+        "createdAt": "2024-11-01T00:00:00Z",
+        "updatedAt": None,
+        "heartbeatAt": "2024-11-01T01:00:00",
+        "state": "running",
+        "tags": ["x"],
+        "host": "h",
+        "runInfo": (8, "A100"),
+        "config": "{}",
+        **more,
+    }
+    return tuple(values[n] for n in RUN_NODES.fieldNames())
+
+
+def test_valid_runs(spark):
+    nodes = [
+        node("kept"),
+        node("no info", runInfo=None),
+        node("no device", runInfo=(8, None)),
+        node("empty device", runInfo=(8, "")),
+        node("ignored", tags=["x", "OTHER_gpu"]),
+        node("null tags", tags=None),
+        node("null tag", tags=[None, "x"]),
+        node("no length", heartbeatAt="2024-11-01T00:00:00.000Z"),
+        node("other team", team="u"),
+        # 15:00 UTC is midnight in Tokyo.
+        node("ends before", createdAt="2024-10-31T01:00:00Z", heartbeatAt="2024-10-31T14:59:59Z"),
+        node("ends at start", createdAt="2024-10-31T01:00:00Z", heartbeatAt="2024-10-31T15:00:00Z"),
+        node("begins at end", createdAt="2024-11-03T14:59:59Z", heartbeatAt="2024-11-09T00:00:00Z"),
+        node("begins after", createdAt="2024-11-03T15:00:00Z", heartbeatAt="2024-11-09T00:00:00Z"),
+    ]
+    df = spark.createDataFrame(nodes, RUN_NODES)
+    table = companies(spark, ("a", ["t"], [("2024-10-01", 1)]))
+    windows = config.team_windows(table)
+
+    def names(start="2024-11-01", end="2024-11-03", **more):
+        got = runs.valid_runs(df, windows, start, end, ["other_gpu"], **more)
+        return {r.run_id for r in got.collect()}
+
+    kept = {"kept", "null tags", "null tag", "ends at start", "begins at end"}
+    assert names() == kept
+    assert names(validate=False) == {n[2] for n in nodes} - {"other team"}
+    assert names("2024-09-01", "2024-09-30") == set()
+    ended = companies(spark, ("a", ["t"], [("2024-10-01", 1), ("2024-10-31", 0)]))
+    windows = config.team_windows(ended)
+    assert names("2024-10-20", "2024-11-03") == {"ends before", "ends at start"}
+
+
+def test_local_times(spark):
+    df = spark.createDataFrame([node("r", createdAt="2024-11-01T00:00:00.123456Z")], RUN_NODES)
+    row = runs.normalise_runs(df).first()
+    assert row.created_at == TS("2024-11-01 09:00:00.123456")
+    assert row.updated_at == TS("2024-11-01 10:00:00")
+    assert (row.run_path, row.gpu_count, row.gpu_name) == ("t/p/r", 8, "A100")
+
+
 def test_week_buckets(spark):
     days = spark.createDataFrame([(D("2024-10-26"),), (D("2024-10-27"),), (D("2024-10-28"),)], "d date")
     got = days.select("d", c.sunday_week(F.col("d")), c.shifted_week(F.col("d")))

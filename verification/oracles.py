@@ -333,6 +333,10 @@ FINALS: dict[str, tuple[tuple[str, ...], str]] = {
         """select team || '/' || project || '/' || run_id run_path, created_at, updated_at, state, tags,
              host_name, gpu_name, own_count gpu_count from valid""",
     ),
+    "valid_run_counts": (
+        ("valid",),
+        "select team, project, count(*) n_runs from valid group by all",
+    ),
     "gpu_count": (
         ("counted",),
         "select team, run_id, cast(gpu_count as bigint) gpu_count from counted",

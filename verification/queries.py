@@ -93,6 +93,10 @@ def valid_runs(spark, sf_dir):
     )
 
 
+def valid_run_counts(spark, sf_dir):
+    return runs.run_counts(_valid_runs(spark, sf_dir))
+
+
 def gpu_count(spark, sf_dir):
     counted = with_gpu_count(
         runs.normalise_runs(v.nodes(spark, sf_dir)), v.gpu_rules(spark, sf_dir)
@@ -312,6 +316,7 @@ QUERIES: dict[str, Query] = {
     "overall_calendar": overall_calendar,
     "project_filter": project_filter,
     "valid_runs": valid_runs,
+    "valid_run_counts": valid_run_counts,
     "gpu_count": gpu_count,
     "run_days": run_days,
     "metrics_long": metrics_long,
