@@ -59,7 +59,8 @@ def update_history(
     """
     between = F.col("date").between(F.lit(as_date(start)), F.lit(as_date(end)))
     in_range = F.coalesce(between, F.lit(False))
-    outside = F.raise_error(F.concat(F.lit("run day outside the range: "), F.col("date").cast("string")))
+    day = F.coalesce(F.col("date").cast("string"), F.lit("none"))
+    outside = F.raise_error(F.concat(F.lit("run day outside the range: "), day))
     new = new.where(F.when(in_range, F.lit(True)).otherwise(outside.cast("boolean")))
     old = read_history(spark, path).where(between) if table_exists(spark, path) else None
     write_history_days(cut_lineage(merge_history(new, old), shared), path)

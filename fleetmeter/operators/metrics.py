@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,13 +48,9 @@ def _across(samples: DataFrame, pattern: str) -> dict[str, Column]:
             "sum": F.lit(0.0),
             "max": F.lit(None).cast("double"),
         }
-    count = sum((v.isNotNull().cast("bigint") for v in values[1:]), values[0].isNotNull().cast("bigint"))
-    total = sum(
-        (F.coalesce(v, F.lit(0.0)) for v in values[1:]), F.coalesce(values[0], F.lit(0.0))
-    )
     return {
-        "n": count,
-        "sum": total,
+        "n": reduce(add, [v.isNotNull().cast("bigint") for v in values]),
+        "sum": reduce(add, [F.coalesce(v, F.lit(0.0)) for v in values]),
         "max": F.greatest(*values) if len(values) > 1 else values[0],
     }
 
@@ -97,8 +95,9 @@ def metrics_daily(
     """
     wide = "metric" not in samples.columns
     partials = _wide_partials(samples) if wide else _long_partials(samples)
+    day = local_day(F.col("_timestamp"), as_date(start), as_date(end), tz)
     per_day = (
-        partials.withColumn("date", local_day(F.col("_timestamp"), as_date(start), as_date(end), tz))
+        partials.withColumn("date", day)
         .groupBy("run_path", "date")
         .agg(
             F.count(F.lit(1)).alias("samples"),
@@ -118,9 +117,8 @@ def metrics_daily(
         # A long sample is several rows, so count instants instead.
         many = F.max("last_ts").over(run) > F.min("first_ts").over(run)
     readings = F.sum(F.col("gpu_n") + F.col("memory_n")).over(run) > 0
-    kept = (
-        per_day.withColumns({"_many": many, "_readings": readings})
-        .where(F.col("_many") & F.col("_readings") & F.col("date").isNotNull())
+    kept = per_day.withColumns({"_many": many, "_readings": readings}).where(
+        F.col("_many") & F.col("_readings") & F.col("date").isNotNull()
     )
     columns = [
         F.try_divide("gpu_sum", "gpu_n").alias("average_gpu_utilization"),

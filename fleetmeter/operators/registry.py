@@ -30,7 +30,8 @@ def retag_latest(registry: DataFrame, companies: DataFrame, latest: str) -> Data
         registry.join(named, "run_id", "left")
         .withColumn("untagged", F.coalesce(hit, F.lit(False)))
         .withColumn(
-            "tags", F.when(F.col("untagged"), F.array_remove("tags", latest)).otherwise(F.col("tags"))
+            "tags",
+            F.when(F.col("untagged"), F.array_remove("tags", latest)).otherwise(F.col("tags")),
         )
         .drop("_named")
     )

@@ -136,15 +136,12 @@ def _period_report(
         split = days.select("company", *hours_period, *hours, *metrics)
     else:
         # Hours and metrics of a day may fall into different periods: one entry for each.
-        hours_entry = F.struct(
-            *hours_period, *hours, *[F.lit(None).cast(facts.schema[m].dataType).alias(m) for m in metrics]
-        )
-        metrics_entry = F.struct(
-            *metrics_period, *[F.lit(None).cast(days.schema[h].dataType).alias(h) for h in hours], *metrics
-        )
-        split = days.select(
-            "company", F.inline(F.array(hours_entry, metrics_entry))
-        )
+        def absent(columns: list[str]) -> list[Column]:
+            return [F.lit(None).cast(days.schema[c].dataType).alias(c) for c in columns]
+
+        hours_entry = F.struct(*hours_period, *hours, *absent(metrics))
+        metrics_entry = F.struct(*metrics_period, *absent(hours), *metrics)
+        split = days.select("company", F.inline(F.array(hours_entry, metrics_entry)))
     keys = [c for c in split.columns if c not in hours + metrics]
     usage = split.groupBy(*keys).agg(
         *[_sum_of_tenths(h).alias(h) for h in hours[:2]],

@@ -45,7 +45,8 @@ def with_previous_update(
         }
     )
     # Rows inside a slice keep its number as their group and need no further order.
-    sliced = sliced.withColumn("_inner", F.when(~F.col("_first") & ~F.col("_last"), F.col("_slice")))
+    inner = ~F.col("_first") & ~F.col("_last")
+    sliced = sliced.withColumn("_inner", F.when(inner, F.col("_slice")))
     across = Window.partitionBy(*keys, "_inner").orderBy("created_at", *ties)
     return sliced.withColumn(
         "prev_updated_at",

@@ -125,9 +125,10 @@ def publish(tables: dict[str, DataFrame], root: str, name: str, by_company: bool
         out = df.withColumn("published_by", F.concat_ws("/", F.lit(name), owner))
         path = f"{root}/{table}/run={name}"
         if by_company:
-            spread_writers(out, "company").write.mode("overwrite").partitionBy("company").parquet(path)
+            writer = spread_writers(out, "company").write.partitionBy("company")
         else:
-            out.write.mode("overwrite").parquet(path)
+            writer = out.write
+        writer.mode("overwrite").parquet(path)
 
 
 def update_registry(

@@ -158,6 +158,7 @@ GPU_CASES = [
     ("pair", '{"num_nodes":null}', 4),
     ("pair", '{"num_nodes":{"value":2},"num_gpus":7}', 4),
     ("pair", '{"num_nodes":"{}"}', 4),
+    ("pair", '{"num_nodes":{"value":3},"num_gpus":{"value":1},"other":[{"a":1}, null]}', 3),
     ("pair", "[1]", 4),
     ("pair", "not json", 4),
     ("pair", None, 4),

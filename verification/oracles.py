@@ -448,8 +448,8 @@ FINALS: dict[str, tuple[tuple[str, ...], str]] = {
     "project_summary": (
         ("week_row",),
         f"""select company_name, project, round(sum(ticks) / 60.0, 2) "Total hours",
-              count(*) "Total runs", count_if(multi) master_node_runs,
-              count(case when created_at < prev_updated_at then 1 end) overlap_runs, count_if(ignored) ignore_runs
+              count(*) "Total runs", count(case when multi then 1 end) master_node_runs,
+              count(case when created_at < prev_updated_at then 1 end) overlap_runs, count(case when ignored then 1 end) ignore_runs
             from ({RUNS_WITH_PREVIOUS.format(source='week_row', ignored=IGNORED)})
             group by company_name, project""",
     ),

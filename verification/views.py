@@ -79,7 +79,7 @@ def gpu_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     def iso(ts: str) -> str:
-        return f"concat(date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), 'Z')"
+        return f"concat(replace(cast({ts} as string), ' ', 'T'), 'Z')"
 
     stop = f"timestampadd(MINUTE, {MINUTES}, ts)"
     k = "get_json_object(props, '$.k')"
