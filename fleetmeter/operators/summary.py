@@ -64,7 +64,8 @@ def in_previous_week(run_days: DataFrame, end: str | dt.date) -> DataFrame:
 
 
 def runs_of(run_days: DataFrame, ignore_tags: Sequence[str]) -> DataFrame:
-    """Run days folded to one row per run. The host is that of the run's first day."""
+    """Run days folded to one row per run. The host is that of the newest day,
+    which the history lists first."""
     return (
         run_days.withColumns(
             {
@@ -80,7 +81,7 @@ def runs_of(run_days: DataFrame, ignore_tags: Sequence[str]) -> DataFrame:
             F.max("_ignored").alias("ignored"),
             F.min("created_at").alias("created_at"),
             F.max("updated_at").alias("updated_at"),
-            F.min_by("host_name", "date").alias("host_name"),
+            F.max_by("host_name", "date").alias("host_name"),
         )
     )
 

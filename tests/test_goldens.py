@@ -384,6 +384,18 @@ def test_runs_without_host(spark):
     assert summary.weekly_project_report(table, "2024-11-06", []).first().overlap_runs == 0
 
 
+def test_host_of_a_run_is_that_of_its_newest_day(spark):
+    times = {"created_at": TS("2024-10-29 10:00:00"), "updated_at": TS("2024-10-30 10:00:00")}
+    days = [
+        run_day("2024-10-30", "x", 1, 1, host_name="new", **times),
+        run_day("2024-10-29", "x", 1, 1, host_name="old", **times),
+        run_day("2024-10-29", "y", 1, 1, host_name="new", created_at=TS("2024-10-29 11:00:00")),
+        run_day("2024-10-29", "z", 1, 1, host_name="old", created_at=TS("2024-10-29 12:00:00")),
+    ]
+    got = summary.overlapping_runs(spark.createDataFrame(days, RUN_DAYS))
+    assert rows(got.select("run_id", "host_name")) == [("y", "new")]
+
+
 def test_run_days_of_one_run_overlap_in_the_weekly_files(spark):
     span = {"created_at": TS("2024-10-29 12:00:00"), "updated_at": TS("2024-10-30 12:00:00")}
     days = [run_day(d, "x", 12, 9, **span) for d in ("2024-10-29", "2024-10-30")]

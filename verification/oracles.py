@@ -283,7 +283,7 @@ CTES["report_overall"] = report(
 RUNS_WITH_PREVIOUS = """select *, lag(updated_at) over (
       partition by company_name, project, host_name order by created_at, run_id) prev_updated_at
     from (select company_name, project, run_id, min(created_at) created_at,
-        max(updated_at) updated_at, arg_min(host_name, date) host_name,
+        max(updated_at) updated_at, arg_max(host_name, date) host_name,
         sum(ticks * gpu_count) ticks, bool_or(gpu_count >= 9) multi, bool_or({ignored}) ignored
       from {source} group by all)"""
 
