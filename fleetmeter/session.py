@@ -37,10 +37,11 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession, when_unset: str | None = None) -> str:
-    """The folder named by ``spark.checkpoint.dir``; ``when_unset`` serves local tests."""
+    """The folder named by ``spark.checkpoint.dir``, else ``when_unset``, else one in the
+    session's warehouse, which all executors share as well."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or when_unset
     if not folder:
-        raise ValueError("spark.checkpoint.dir is not set; it must name a shared folder")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
     return folder.rstrip("/")
 
 
