@@ -1,12 +1,16 @@
 """Removal of long word sequences that repeat across documents, by De Bruijn compaction.
 
 Edges of the graph are k-mers of ``width`` words, each going from its first to its last
-``width`` - 1 words. Only edges that can repeat are built: a document's edges are winnowed to
-anchors (the smallest of the hashes of the ``anchor``-word runs in the edge, the same wherever the
-edge occurs), and an edge counts only if its anchor occurs in two documents. Joins then give each
-repeated edge its source coordinates, the smallest (doc_id, position) where it starts. Edges that
-follow one another in a document while their source coordinates advance in step form a
-nonbranching path and are compacted into one span; the span is verified by its coordinates.
+``width`` - 1 words. Only edges that can repeat are built: every edge has an anchor (the smallest
+of the hashes of the ``anchor``-word runs in it, the same wherever the edge occurs), and an edge counts only
+if its anchor occurs in two documents. Consecutive edges of a document with one anchor form a path, known by
+the hash of all words it spans.
+
+Joins compact the repeated paths: a path that recurs whole, its edges always together, is nonbranching
+and is settled at once by its source, the smallest doc_id (with the start there) that holds it.
+Where paths of one anchor branch, that is where a path has no smaller source as a whole though its anchor
+has, the edges of the paths of that anchor are looked up one by one. A path settled
+before need not take part: its source holds the same edges under a smaller doc_id.
 
 A document with a smaller doc_id keeps the text; words of later spans go. Anchors of all documents
 are counted in Spark; what the driver gets of them is a bit map of fixed size, a filter that
@@ -14,7 +18,7 @@ only saves work: an edge that passes it by chance has a single document and is n
 
 Defined cases: a null text has no words; a null doc_id neither removes nor loses words; rows with
 the same doc_id do not remove one another; texts shorter than ``width`` words stay whole.
-Sequences are compared by 64 + 32 bits of two hashes.
+Paths are compared by 64 + 32 bits of two hashes, single edges by 64.
 """
 
 from __future__ import annotations
@@ -78,23 +82,15 @@ def _chunk_maps(bits: int):
     return run
 
 
-def _repeated_anchor_filter(docs: DataFrame, width: int, anchor: int) -> np.ndarray:
-    """Bits of the anchors that occur in two documents."""
-    spark = docs.sparkSession
-    found = docs.mapInArrow(_anchors(width, anchor), "anchor bigint, doc_id bigint")
-    repeated = staged(
-        found.groupBy("anchor")
-        .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        .where("lo < hi")
-        .select("anchor")
-    )
-    n = repeated.count()
-    bits = min(max(FILTER_BITS[0], math.ceil(math.log2(8 * n + 1))), FILTER_BITS[1])
-    slot = F.shiftrightunsigned("anchor", 64 - bits)
+def _filter_of(keys: DataFrame, column: str) -> tuple:
+    """A bit map, broadcast, in which the keys (hashes) are marked; and its size as a power of two."""
+    bits = min(max(FILTER_BITS[0], math.ceil(math.log2(8 * keys.count() + 1))), FILTER_BITS[1])
+    # The low bits: an anchor is the smallest of several hashes, so its high ones are mostly 0.
+    slot = F.col(column).bitwiseAND((1 << bits) - 1)
     chunk = F.shiftright(slot, bits - CHUNK_BITS).cast("int")
-    # Distinct slots first: at most 2^bits of them, whatever the number of anchors.
+    # Distinct slots first: at most 2^bits of them, whatever the number of keys.
     maps = (
-        repeated.select(chunk.alias("chunk"), slot.alias("slot"))
+        keys.select(chunk.alias("chunk"), slot.alias("slot"))
         .distinct()
         .groupBy("chunk")
         .applyInArrow(_chunk_maps(bits), "chunk int, map binary")
@@ -103,10 +99,24 @@ def _repeated_anchor_filter(docs: DataFrame, width: int, anchor: int) -> np.ndar
     size = len(flags) >> CHUNK_BITS
     for row in maps.toLocalIterator():
         flags[row.chunk * size : (row.chunk + 1) * size] = np.unpackbits(np.frombuffer(row.map, np.uint8))
-    return spark.sparkContext.broadcast(np.packbits(flags)), bits
+    return keys.sparkSession.sparkContext.broadcast(np.packbits(flags)), bits
+
+
+def _marked(packed: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
+    slot = (keys & t.U64((1 << bits) - 1)).astype(np.int64)
+    return ((packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1) > 0
+
+
+def _repeated_anchors(docs: DataFrame, width: int, anchor: int) -> DataFrame:
+    """Anchors that occur in two documents."""
+    found = docs.mapInArrow(_anchors(width, anchor), "anchor bigint, doc_id bigint")
+    ranges = found.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    return staged(ranges.where("lo < hi").select("anchor"))
+
 
+def _candidate_paths(width: int, anchor: int, filter_bits, bits: int):
+    """Paths of each text whose anchor passes the filter, with the hashes of their edges."""
 
-def _candidate_edges(width: int, anchor: int, filter_bits, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = filter_bits.value
         for batch in batches:
@@ -114,68 +124,91 @@ def _candidate_edges(width: int, anchor: int, filter_bits, bits: int):
             rows = batch.column("row").to_numpy(zero_copy_only=False)
             for piece in t.slices(batch.column("text")):
                 found, hashes, anchors, whole = _edges(piece, width, anchor)
-                slot = (anchors >> t.U64(64 - bits)).astype(np.int64)
-                hit = (packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
-                at = np.flatnonzero(whole & (hit > 0))
+                at = np.flatnonzero(whole & _marked(packed, bits, anchors))
                 doc = found.owner()[at]
-                edge = t.window_hashes(hashes, width)[at]
-                check = (t.window_hashes(hashes, width, seed=47)[at] >> t.U64(32)).astype(np.uint32)
+                new = np.ones(len(at), dtype=bool)
+                new[1:] = (np.diff(at) != 1) | (np.diff(doc) != 0) | (anchors[at[1:]] != anchors[at[:-1]])
+                first = np.flatnonzero(new)
+                begin, doc = at[first], doc[first]
+                size = np.diff(np.r_[first, len(at)])
+                end = begin + size + width - 1
+                path = t.span_hashes(hashes, begin, end)
+                proof = (t.span_hashes(hashes, begin, end, seed=47) >> t.U64(32)).astype(np.uint32)
+                edges = t.window_hashes(hashes, width)[at].view(np.int64)
+                number = ids[piece.lo + doc].astype(np.int64).view(np.uint64)
+                label = t.mix(t.mix(path + number) + begin.astype(np.uint64))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(edge.view(np.int64)),
-                        pa.array(check.view(np.int32)),
+                        pa.array(label.view(np.int64)),
+                        pa.array(anchors[begin].view(np.int64)),
+                        pa.array(path.view(np.int64)),
+                        pa.array(proof.view(np.int32)),
                         pa.array(ids[piece.lo + doc].astype(np.int64)),
                         pa.array(rows[piece.lo + doc]),
-                        pa.array((at - found.first[doc]).astype(np.int32)),
+                        pa.array((begin - found.first[doc]).astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(np.r_[first, len(at)].astype(np.int32)), pa.array(edges)),
                     ],
-                    ["edge", "proof", "doc_id", "row", "pos"],
+                    ["label", "anchor", "path", "proof", "doc_id", "row", "start", "edges"],
                 )
 
     return run
 
 
+def _edges_of(chosen, bits: int):
+    """The edges, one by one, of the paths whose label is marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("label").to_numpy().view(np.uint64)
+            part = batch.filter(pa.array(_marked(chosen.value, bits, keys)))
+            edges = part.column("edges")
+            of = edges.value_parent_indices().to_numpy(zero_copy_only=False)
+            size = np.bincount(of, minlength=len(part))
+            k = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+            rows = part.select(["doc_id", "row"]).take(pa.array(of))
+            start = part.column("start").to_numpy(zero_copy_only=False)[of] + k
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(start.astype(np.int32)), edges.flatten()], ["doc_id", "row", "start", "edge"]
+            )
+
+    return run
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows with one doc_id and several texts are told apart by a hash of the text."""
     return docs.select("doc_id", "text", F.hash("text").alias("row"))
 
 
 def repeated_spans(docs: DataFrame, width: int = 50, anchor: int = 20) -> DataFrame:
-    """Compacted paths: doc_id, row (a hash of the text), start, n_edges, and the source doc_id and
-    start they repeat. If an edge starts twice in its source document, either place may be named."""
+    """Spans of edges to remove: doc_id, row (a hash of the text), start, n_edges, and the
+    document they repeat, source_id."""
     known = _keyed(docs).where("doc_id is not null and text is not null")
-    found, bits = _repeated_anchor_filter(known, width, anchor)
-    edges = known.mapInArrow(
-        _candidate_edges(width, anchor, found, bits),
-        "edge bigint, proof int, doc_id bigint, row int, pos int",
-    )
-    edges = staged(edges)
-    sources = (
-        edges.groupBy("edge", "proof")
-        .agg(
-            F.min("doc_id").alias("source_id"),
-            F.min_by("pos", "doc_id").alias("source_pos"),
-            F.max("doc_id").alias("_last"),
+    found, bits = _filter_of(_repeated_anchors(known, width, anchor), "anchor")
+    paths = staged(
+        known.mapInArrow(
+            _candidate_paths(width, anchor, found, bits),
+            "label bigint, anchor bigint, path bigint, proof int, doc_id bigint, row int, start int, edges array<bigint>",
         )
-        .where(F.col("source_id") < F.col("_last"))
-        .drop("_last")
     )
-    later = edges.join(sources, ["edge", "proof"]).where(F.col("source_id") < F.col("doc_id"))
-    # Along one path the distance to the source position stays the same.
-    positions = later.groupBy(
-        "doc_id", "row", "source_id", (F.col("source_pos") - F.col("pos")).alias("shift")
-    ).agg(F.array_sort(F.collect_set("pos")).alias("at"))
-    # Path ends: positions without a neighbour on the same path.
-    starts = F.filter("at", lambda p, i: (i == 0) | (F.get("at", i - 1) != p - 1))
-    ends = F.filter("at", lambda p, i: (i == F.size("at") - 1) | (F.get("at", i + 1) != p + 1))
-    paths = positions.select("doc_id", "row", "source_id", "shift", F.inline(F.arrays_zip(starts.alias("start"), ends.alias("end"))))
-    return paths.select(
-        "doc_id",
-        "row",
-        "start",
-        (F.col("end") - F.col("start") + 1).alias("n_edges"),
-        "source_id",
-        (F.col("start") + F.col("shift")).alias("source_start"),
+    key = ["path", "proof"]
+    light = paths.select("label", "anchor", *key, "doc_id", "row", "start", F.size("edges").alias("n_edges"))
+    sources = light.groupBy(*key).agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("_last"))
+    sources = sources.where("source_id < _last").drop("_last")
+    placed = staged(light.join(sources, key, "left").drop(*key))
+    whole = placed.where("source_id < doc_id").select("doc_id", "row", "start", "n_edges", "source_id")
+    # Anchors at which paths branch: a path without a smaller source, though its anchor has one.
+    own = placed.where("source_id is null or source_id = doc_id").select("label", "anchor", "doc_id")
+    least = placed.groupBy("anchor").agg(F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most"))
+    branches = own.join(least.where("_least < _most"), "anchor").where("doc_id > _least").select("anchor").distinct()
+    chosen, chosen_bits = _filter_of(staged(own.join(branches, "anchor", "left_semi").select("label")), "label")
+    edges = paths.select("label", "doc_id", "row", "start", "edges").mapInArrow(
+        _edges_of(chosen, chosen_bits), "doc_id bigint, row int, start int, edge bigint"
     )
+    owners = edges.groupBy("edge").agg(F.min("doc_id").alias("source_id"), F.max("doc_id").alias("_last"))
+    owners = owners.where("source_id < _last").drop("_last")
+    single = edges.join(owners, "edge").where("source_id < doc_id")
+    single = single.select("doc_id", "row", "start", F.lit(1).alias("n_edges"), "source_id")
+    return whole.unionByName(single)
 
 
 def _drop_spans(width: int):

@@ -158,6 +158,11 @@ def window_hashes(hashes: np.ndarray, width: int, seed: int = 23) -> np.ndarray:
     return out
 
 
+def span_hashes(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 59) -> np.ndarray:
+    """Hash of each run of word hashes from begin to end, of any length."""
+    return mix(_ranges(hashes, begin, end, seed) + (end - begin).astype(np.uint64))
+
+
 def whole_windows(first: np.ndarray, width: int) -> np.ndarray:
     """For each word position with a run of ``width`` words, whether the run lies in one text."""
     n = int(first[-1])
