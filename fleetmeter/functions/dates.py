@@ -62,5 +62,5 @@ def report_range(
         first = FIRST_HISTORY_DAY if start is None else as_date(start)
         last = as_date(end)
     if first > last:
-        raise ValueError("Start date must be before or equal to end date.")
+        raise ValueError("the report range is empty: it starts after its end")
     return first, last

@@ -96,7 +96,10 @@ def _ordered_schedule(companies: DataFrame) -> DataFrame:
 
 
 def team_windows(companies: DataFrame) -> DataFrame:
-    """Allocation window of each team, with its project patterns as regular expressions."""
+    """Allocation window of each team, with its project patterns as regular expressions.
+
+    An empty pattern is none.
+    """
     last = F.element_at("_entries", -1)
     return (
         _ordered_schedule(companies)
@@ -107,8 +110,8 @@ def team_windows(companies: DataFrame) -> DataFrame:
             F.when(last["node"] == 0, last["date"])
             .otherwise(F.lit(OPEN_END).cast("date"))
             .alias("end_date"),
-            glob_to_regex(F.col("ignore_project_pattern")).alias("ignore_regex"),
-            glob_to_regex(F.col("include_project_pattern")).alias("include_regex"),
+            glob_to_regex(F.nullif("ignore_project_pattern", F.lit(""))).alias("ignore_regex"),
+            glob_to_regex(F.nullif("include_project_pattern", F.lit(""))).alias("include_regex"),
         )
     )
 

@@ -41,6 +41,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         .option("dateFormat", CSV_DATE)
         .option("timestampNTZFormat", CSV_TIMESTAMP)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("multiLine", False)
         .csv(path)
     )
@@ -55,6 +57,8 @@ def write_csv(
         .option("dateFormat", CSV_DATE)
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -264,9 +263,8 @@ def missing_companies(spark, sf_dir):
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    """A new folder in the cluster's shared folder; a temporary one where none is named."""
-    local = None if spark.conf.get("spark.checkpoint.dir", None) else tempfile.mkdtemp()
-    return f"{shared_folder(spark, local)}/{name}-{uuid.uuid4().hex}"
+    """A new folder in the folder that all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def csv_round_trip(spark, sf_dir):
