@@ -13,7 +13,7 @@ Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z, told apa
 
 The models are fitted on a bounded sample: ``per_class`` labelled rows of each class chosen by a
 hash of doc_id, two in three for the models and the rest for the curve, of at most ``TRAIN_CHARS``
-characters each. Counts are summed in Spark; what the driver gets is bounded by the sample. Every
+characters each. Counts are summed in Spark; the driver gets the sample's words and its frequent bigrams, not all bigrams. Every
 text is then scored whole.
 
 Defined cases: texts without words, null or empty, get the curve's value at no difference; without labelled
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -42,6 +43,7 @@ MIXED = 0.05
 #: different words follow in either class: copied passages would make it look certain there.
 LEAST_BIGRAM = 5
 LEAST_FOLLOWERS = 10
+CLASSES = ("ordinary", "toxic")
 START = np.uint64(0x5EED5EED5EED5EED)
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -134,31 +136,49 @@ def _discounted(counts: np.ndarray, total) -> tuple[np.ndarray, float]:
     return share, float(1 - share.sum())
 
 
-def build(pair: np.ndarray, v: np.ndarray, w: np.ndarray, counts: np.ndarray) -> Model:
-    """From distinct bigrams and their counts [class, bigram]."""
-    words, inverse = np.unique(np.r_[v, w], return_inverse=True)
-    iv, iw = inverse[: len(v)], inverse[len(v) :]
-    size = len(words)
-    follows = np.stack([np.bincount(iw[counts[c] > 0], minlength=size) for c in (0, 1)]).astype(np.float64)
+def word_table(counted: DataFrame) -> DataFrame:
+    """Each word with, for both classes, after how many different words it is seen (``after``), how many
+    different words follow it (``before``) and how many words do in all (``n``)."""
+    seen = lambda c: F.count_if(F.col(c) > 0)
+    after = counted.groupBy(F.col("w").alias("word")).agg(*(seen(c).alias(f"after_{c}") for c in CLASSES))
+    before = counted.groupBy(F.col("v").alias("word")).agg(
+        *(seen(c).alias(f"before_{c}") for c in CLASSES), *(F.sum(c).alias(f"n_{c}") for c in CLASSES)
+    )
+    return after.join(before, "word", "full").na.fill(0)
+
+
+def kept_bigrams(counted: DataFrame, words: DataFrame) -> DataFrame:
+    """Bigrams seen often enough, in contexts varied enough, to be told apart from the backoff."""
+    varied = words.where(F.least(*(f"before_{c}" for c in CLASSES)) >= LEAST_FOLLOWERS).select(F.col("word").alias("v"))
+    return counted.where(F.col("ordinary") + F.col("toxic") >= LEAST_BIGRAM).join(varied, "v")
+
+
+def _column(frame: pd.DataFrame, name: str) -> np.ndarray:
+    return frame[name].to_numpy(np.int64)
+
+
+def build(table: pd.DataFrame, bigrams: pd.DataFrame) -> Model:
+    """From the rows of ``word_table`` and ``kept_bigrams``."""
+    words = _column(table, "word").view(np.uint64)
+    by_word = np.argsort(words)
+    words, size = words[by_word], len(words)
+    after, n = (np.stack([_column(table, f"{x}_{c}")[by_word] for c in CLASSES]).astype(np.float64) for x in ("after", "n"))
     # Shared by both: in how many of the classes a word is seen, half of one for unknown words.
-    shared = np.r_[np.maximum((follows > 0).sum(axis=0), 0.5), 0.5]
+    shared = np.r_[np.maximum((after > 0).sum(axis=0), 0.5), 0.5]
     shared /= shared.sum()
-    followers = np.stack([np.bincount(iv[counts[c] > 0], minlength=size) for c in (0, 1)])
-    known = followers.min(axis=0) >= LEAST_FOLLOWERS
-    order = np.flatnonzero((counts.sum(axis=0) >= LEAST_BIGRAM) & known[iv])
-    order = order[np.argsort(pair[order])]
+    pairs = _column(bigrams, "pair").view(np.uint64)
+    by_pair = np.argsort(pairs)
+    context = np.searchsorted(words, _column(bigrams, "v").view(np.uint64)[by_pair])
     chance, kept, direct = [], [], []
-    for c in (0, 1):
-        own, left = _discounted(follows[c], follows[c].sum())
+    for c, name in enumerate(CLASSES):
+        own, left = _discounted(after[c], after[c].sum())
         chance.append(np.r_[own, 0.0] + left * shared)
-        mine = counts[c][order]
-        all_of = np.bincount(iv, counts[c], minlength=size)
-        share, _ = _discounted(mine, np.maximum(all_of[iv[order]], 1))
+        share, _ = _discounted(_column(bigrams, name)[by_pair], np.maximum(n[c][context], 1))
         direct.append(share)
-        kept.append(np.r_[1 - np.bincount(iv[order], share, minlength=size), 1.0])
+        kept.append(np.r_[1 - np.bincount(context, share, minlength=size), 1.0])
     start = int(np.searchsorted(words, START))
     start = start if start < size and words[start] == START else size
-    return Model(words, np.array(chance), np.array(kept), pair[order], np.array(direct), start)
+    return Model(words, np.array(chance), np.array(kept), pairs[by_pair], np.array(direct), start)
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, ...]:
@@ -205,18 +225,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     spark = docs.sparkSession
     sample, share = training_sample(docs, labels, per_class)
-    counted = (
+    counted = staged(
         sample.where("fold = 0")
         .mapInArrow(_count, "pair bigint, v bigint, w bigint, ordinary bigint, toxic bigint")
         .groupBy("pair", "v", "w")
         .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-        .toPandas()
     )
-    unsigned = lambda name: counted[name].to_numpy(np.int64).view(np.uint64)
-    counts = counted[["ordinary", "toxic"]].to_numpy(np.float64).T
-    model = build(unsigned("pair"), unsigned("v"), unsigned("w"), counts) if counts.size and counts.any(axis=1).all() else None
-    if model is None:
+    words = staged(word_table(counted))
+    table = words.toPandas()
+    if not (len(table) and all(table[f"after_{c}"].any() for c in CLASSES)):
         return Model(np.zeros(1, np.uint64), np.ones((2, 2)), np.ones((2, 2)), np.zeros(0, np.uint64), np.zeros((2, 0)), 1)
+    model = build(table, kept_bigrams(counted, words).toPandas())
     send = spark.sparkContext.broadcast
     rest = sample.where("fold = 1").mapInArrow(_ratio(send(model), False), "label int, fold int, ratio double, n bigint").toPandas()
     x = _inputs(rest["ratio"].to_numpy(), rest["n"].to_numpy())
