@@ -22,7 +22,10 @@ def metric_columns(samples: DataFrame, pattern: str) -> list[str]:
 
 
 def unpivot_metrics(wide: DataFrame) -> DataFrame:
-    """Wide samples in long form: run_path, _timestamp, gpu_index, metric, value."""
+    """Wide samples in long form: run_path, _timestamp, gpu_index, metric, value.
+
+    A sample without a reading keeps its row: it counts as a sample.
+    """
     names = metric_columns(wide, GPU_PATTERN) + metric_columns(wide, MEMORY_PATTERN)
     long = wide.unpivot(
         ["run_path", "_timestamp"], [F.col(f"`{n}`") for n in names], "_name", "value"
@@ -34,7 +37,7 @@ def unpivot_metrics(wide: DataFrame) -> DataFrame:
         parts[2].cast("int").alias("gpu_index"),
         F.element_at(parts, -1).alias("metric"),
         nan_to_null(F.col("value")).alias("value"),
-    ).where(F.col("value").isNotNull())
+    )
 
 
 def _across(samples: DataFrame, pattern: str) -> dict[str, Column]:
@@ -76,7 +79,7 @@ def _long_partials(samples: DataFrame) -> DataFrame:
             mine.alias(f"{metric}_max"),
         ]
 
-    return samples.select("run_path", "_timestamp", *of("gpu"), *of("memory"))
+    return samples.select("run_path", "_timestamp", "gpu_index", "metric", *of("gpu"), *of("memory"))
 
 
 def metrics_daily(
@@ -96,26 +99,28 @@ def metrics_daily(
     wide = "metric" not in samples.columns
     partials = _wide_partials(samples) if wide else _long_partials(samples)
     day = local_day(F.col("_timestamp"), as_date(start), as_date(end), tz)
-    per_day = (
-        partials.withColumn("date", day)
-        .groupBy("run_path", "date")
-        .agg(
-            F.count(F.lit(1)).alias("samples"),
-            F.min("_timestamp").alias("first_ts"),
-            F.max("_timestamp").alias("last_ts"),
-            *[
-                f(f"{m}_{k}").alias(f"{m}_{k}")
-                for m in ("gpu", "memory")
-                for k, f in (("n", F.sum), ("sum", F.sum), ("max", F.max))
-            ],
+    dated = partials.withColumn("date", day)
+    samples_of_day = F.count(F.lit(1))
+    folds = [
+        F.min(F.col("first_ts")).alias("first_ts"),
+        F.max(F.col("last_ts")).alias("last_ts"),
+        *[
+            f(f"{m}_{k}").alias(f"{m}_{k}")
+            for m in ("gpu", "memory")
+            for k, f in (("n", F.sum), ("sum", F.sum), ("max", F.max))
+        ],
+    ]
+    dated = dated.withColumns({"first_ts": F.col("_timestamp"), "last_ts": F.col("_timestamp")})
+    if not wide:
+        # A long sample is a row for each device and metric: the one with most rows counts them.
+        dated = dated.groupBy("run_path", "date", "gpu_index", "metric").agg(
+            F.count(F.lit(1)).alias("rows"), *folds
         )
-    )
+        samples_of_day = F.max("rows")
+    per_day = dated.groupBy("run_path", "date").agg(samples_of_day.alias("samples"), *folds)
     # Out-of-range samples sit in the null date of their run: still counted here.
     run = Window.partitionBy("run_path")
     many = F.sum("samples").over(run) > 1
-    if not wide:
-        # A long sample is several rows, so count instants instead.
-        many = F.max("last_ts").over(run) > F.min("first_ts").over(run)
     readings = F.sum(F.col("gpu_n") + F.col("memory_n")).over(run) > 0
     kept = per_day.withColumns({"_many": many, "_readings": readings}).where(
         F.col("_many") & F.col("_readings") & F.col("date").isNotNull()

@@ -27,7 +27,7 @@ from fleetmeter.plans.reports import UsageReports
 from fleetmeter.schemas import REGISTRY
 from fleetmeter.session import cut_lineage
 from fleetmeter.sources.config import team_table
-from fleetmeter.sources.tables import read_registry, spread_writers, table_exists
+from fleetmeter.sources.tables import read_registry, record_alerts, spread_writers, table_exists
 
 # Periods in the short company tables, and the published names.
 RECENT_DAYS = 30
@@ -189,10 +189,5 @@ def daily_update(
     publish(overall_tables(reports), places.published, name, by_company=False)
     publish(company_tables(reports, summary), places.published, name, by_company=True)
     update_registry(spark, places.registry, companies, end, latest, places.shared)
-    (
-        alerts_of(reports, companies, enable_alert)
-        .withColumn("raised_for", F.lit(as_date(end)))
-        .write.mode("append")
-        .parquet(places.alerts)
-    )
+    record_alerts(alerts_of(reports, companies, enable_alert), "daily_update", as_date(end), places.alerts)
     return reports

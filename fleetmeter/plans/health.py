@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fleetmeter.functions.dates import as_date
 from fleetmeter.operators.quality import health_checks, health_message
 from fleetmeter.sources.config import schedule_spans
+from fleetmeter.sources.tables import record_alerts
 
 
 def check_health(
@@ -26,9 +26,5 @@ def record_health(
     path: str,
     latest: str = "latest",
 ) -> None:
-    (
-        check_health(companies, registry, target, latest)
-        .withColumn("raised_for", F.lit(as_date(target)))
-        .write.mode("append")
-        .parquet(path)
-    )
+    alert = check_health(companies, registry, target, latest)
+    record_alerts(alert, "record_health", as_date(target), path)

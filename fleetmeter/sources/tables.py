@@ -120,6 +120,15 @@ def write_history_csv(df: DataFrame, root: str, end: str | dt.date) -> str:
     return path
 
 
+def record_alerts(alerts: DataFrame, source: str, raised_for: str | dt.date, root: str) -> None:
+    """Write the alerts of one job for one day, in place of those of an earlier run of it.
+
+    ``raised_for`` and ``source`` are partitions, so a repeated run doubles nothing and a
+    repeated run without alerts takes the old ones away.
+    """
+    alerts.write.mode("overwrite").parquet(f"{root.rstrip('/')}/raised_for={raised_for}/source={source}")
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.REGISTRY).parquet(path)
 

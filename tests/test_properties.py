@@ -16,6 +16,7 @@ from fleetmeter.functions.columns import epoch_to_local, local_day
 from fleetmeter.functions.dates import utc_midnight
 from fleetmeter.operators import history, metrics, runs, summary
 from fleetmeter.schemas import METRICS_LONG
+from fleetmeter.sources import tables
 from verification import queries as q
 from verification import views as v
 
@@ -182,3 +183,33 @@ def test_report_laws(spark, sf_dir):
     usual, aligned = q.report_weekly(spark, sf_dir), q.report_weekly_aligned(spark, sf_dir)
     assert usual.select(columns).exceptAll(aligned.select(columns)).count() == 0
     daily.unpersist()
+
+
+def test_long_samples_count_as_wide_ones(spark):
+    """A sample without readings and two samples at one instant count in both forms."""
+    schema = "run_path string, _timestamp double, `system.gpu.0.gpu` double, `system.gpu.0.memory` double"
+    noon = 1730430000.0
+    wide = spark.createDataFrame(
+        [
+            ("empty second", noon, 10.0, 20.0), ("empty second", noon + 60, None, None),
+            ("one instant", noon, 10.0, 20.0), ("one instant", noon, 30.0, 40.0),
+            ("single", noon, 10.0, 20.0),
+            ("one in range", noon, 10.0, 20.0), ("one in range", noon - 9e6, 30.0, 40.0),
+            ("no reading", noon, None, None), ("no reading", noon + 60, None, None),
+        ],
+        schema,
+    )
+    a = metrics.metrics_daily(wide, "2024-11-01", "2024-11-02", with_span=True)
+    b = metrics.metrics_daily(metrics.unpivot_metrics(wide), "2024-11-01", "2024-11-02", with_span=True)
+    assert {r.run_path for r in a.collect()} == {"empty second", "one instant", "one in range"}
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_repeated_alerts_replace_those_of_the_day(spark, tmp_path):
+    alerts = spark.createDataFrame([("t", "x")], "title string, text string")
+    for _ in range(2):
+        tables.record_alerts(alerts, "job", "2024-11-01", str(tmp_path / "a"))
+    tables.record_alerts(alerts, "job", "2024-11-02", str(tmp_path / "a"))
+    tables.record_alerts(alerts.limit(0), "job", "2024-11-02", str(tmp_path / "a"))
+    got = spark.read.parquet(str(tmp_path / "a")).collect()
+    assert [(r.title, str(r.raised_for), r.source) for r in got] == [("t", "2024-11-01", "job")]

@@ -117,7 +117,7 @@ def metrics_daily_long(spark, sf_dir):
 
 
 def metrics_long(spark, sf_dir):
-    return metrics.unpivot_metrics(v.wide_metrics(spark, sf_dir))
+    return metrics.unpivot_metrics(v.wide_metrics(spark, sf_dir)).where(F.col("value").isNotNull())
 
 
 def run_days_with_metrics(spark, sf_dir):
