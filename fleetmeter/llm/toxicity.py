@@ -136,6 +136,15 @@ def _discounted(counts: np.ndarray, total) -> tuple[np.ndarray, float]:
     return share, float(1 - share.sum())
 
 
+def count_bigrams(sample: DataFrame) -> DataFrame:
+    """pair, v, w and how often each class (``ordinary``, ``toxic``) has word w after word v, from text and label."""
+    return (
+        sample.mapInArrow(_count, "pair bigint, v bigint, w bigint, ordinary bigint, toxic bigint")
+        .groupBy("pair", "v", "w")
+        .agg(*(F.sum(c).alias(c) for c in CLASSES))
+    )
+
+
 def word_table(counted: DataFrame) -> DataFrame:
     """Each word with, for both classes, after how many different words it is seen (``after``), how many
     different words follow it (``before``) and how many words do in all (``n``)."""
@@ -225,12 +234,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     spark = docs.sparkSession
     sample, share = training_sample(docs, labels, per_class)
-    counted = staged(
-        sample.where("fold = 0")
-        .mapInArrow(_count, "pair bigint, v bigint, w bigint, ordinary bigint, toxic bigint")
-        .groupBy("pair", "v", "w")
-        .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    )
+    counted = staged(count_bigrams(sample.where("fold = 0")))
     words = staged(word_table(counted))
     table = words.toPandas()
     if not (len(table) and all(table[f"after_{c}"].any() for c in CLASSES)):

@@ -22,6 +22,7 @@ from fleetmeter.llm import (
     mixing,
     simhash,
     substring_dedup,
+    toxicity,
 )
 from fleetmeter.llm.oracles import ORACLES
 from fleetmeter.llm.queries import QUERIES
@@ -225,3 +226,25 @@ def test_pipeline(spark, sf_dir):
     assert out.columns == [*rows.columns, "block", "slot", "in_mix"]
     assert 0.5 * rows.count() < out.count() <= rows.count()
     assert out.select("doc_id").distinct().count() == out.count()
+
+
+def test_toxicity_tables_count_every_bigram(spark, docs):
+    sample = docs.select("text", (F.col("doc_id") % 2).cast("int").alias("label")).where("text is not null and label is not null")
+    counted = toxicity.count_bigrams(sample)
+    pairs: Counter = Counter()
+    spelled = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    for r in sample.collect():
+        w = [None, *spelled.findall(r.text.translate(LOW))]
+        pairs.update((r.label, a, b) for a, b in zip(w[:-1], w[1:], strict=True))
+    assert sorted((r.ordinary, r.toxic) for r in counted.collect()) == sorted(
+        (pairs[0, a, b], pairs[1, a, b]) for a, b in {k[1:] for k in pairs}
+    )
+    names = {x for k in pairs for x in k[1:]}
+    kinds = lambda c, k, x: len({p for p in pairs if p[0] == c and p[k] == x})
+    expected = sorted(
+        (*(kinds(c, 2, x) for c in (0, 1)), *(kinds(c, 1, x) for c in (0, 1)), *(sum(n for p, n in pairs.items() if p[:2] == (c, x)) for c in (0, 1)))
+        for x in names
+    )
+    words = toxicity.word_table(counted)
+    assert sorted(tuple(r)[1:] for r in words.collect()) == expected
+    assert all(r.ordinary + r.toxic >= toxicity.LEAST_BIGRAM for r in toxicity.kept_bigrams(counted, words).collect())
