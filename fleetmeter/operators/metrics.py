@@ -94,7 +94,8 @@ def metrics_daily(
     Readings of all devices are pooled. Runs with a single sample, counted over
     all days, and runs without any device reading give no row. ``samples`` may be
     wide or long. Samples are folded per run and day before they are shuffled, so
-    a run with very many samples costs no more than any other there.
+    a run with very many samples costs no more than any other there; long ones are
+    folded per device and metric first, which takes one more shuffle.
     """
     wide = "metric" not in samples.columns
     partials = _wide_partials(samples) if wide else _long_partials(samples)
