@@ -248,3 +248,38 @@ def test_toxicity_tables_count_every_bigram(spark, docs):
     words = toxicity.word_table(counted)
     assert sorted(tuple(r)[1:] for r in words.collect()) == expected
     assert all(r.ordinary + r.toxic >= toxicity.LEAST_BIGRAM for r in toxicity.kept_bigrams(counted, words).collect())
+
+
+def test_keep_one_finds_all_similar_texts(spark):
+    rng = np.random.default_rng(7)
+    texts = [None, "", "  ", "one two", "ONE  two", "a b c d e f g h", "a b c d e f g h i"]
+    for size in (40, 90, 300):
+        for i in range(8):
+            base = [f"w{x}" for x in rng.integers(0, 5000, size)]
+            texts.append(" ".join(base))
+            for changes in range(0, 1 + size // 25):
+                copy = list(base)
+                for at in rng.integers(0, size, changes):
+                    copy[at] = f"n{changes}x{i}"
+                texts.append(" ".join(copy))
+            texts.append(" ".join([*base, *(f"t{x}" for x in range(size // 5))]))
+    # A chain: each is similar to the next, the ends are not.
+    chain = [f"c{x}" for x in range(200)]
+    texts += [" ".join(chain[k : k + 100]) for k in range(0, 50, 7)]
+    rows = [(int(i), x) for i, x in zip(rng.permutation(len(texts)), texts, strict=True)]
+    sets = []
+    for _, text in rows:
+        w = words((text or "").translate(LOW))
+        sets.append({tuple(w[p : p + 5]) for p in range(max(1, len(w) - 4))} if w else set())
+    near = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b)
+    root, banded = list(range(len(rows))), 0
+    for i in root[:]:
+        for j in range(i):
+            if near(sets[i], sets[j]):
+                banded += 5 * len(sets[i] & sets[j]) < 4.5 * len(sets[i] | sets[j])
+                old, new = root[i], root[j]
+                root = [new if x == old else x for x in root]
+    assert banded > 10
+    least = {r: min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in root}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(least.values())
