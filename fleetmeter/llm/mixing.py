@@ -6,7 +6,10 @@ share n is released at slot floor(j Q / n) and due at ceil((j + 1) Q / n); slots
 released blocks, earliest deadline first. As the shares add up to Q every slot is used and every
 deadline met, so after t slots each source has had more than t n / Q - 1 and less than
 t n / Q + 1 blocks. The schedule repeats after Q slots: it is worked out once for a period, by an
-``aggregate`` over its slots, and joined to the blocks.
+``aggregate`` over its slots, and joined to the blocks. Q is ``period`` for up to so many sources; for more
+it is the multiple of ``period`` that leaves at least ``period`` slots to be dealt by weight besides one for each source.
+Sources of equal share have the same windows and take turns, so a slot is chosen among the different
+shares, of which there are at most the root of 2 Q, not among all sources.
 
 A document's place in its source is the running sum within a slice of the hash plus the total of
 the slices before, so a source that holds most rows is spread over ``SLICES`` sorts. Everything is DataFrame code,
@@ -31,7 +34,9 @@ SEED = "mix"
 
 
 def source_shares(totals: DataFrame, period: int, weights: dict[str, float] | None = None) -> DataFrame:
-    """source, chars, n: whole shares that add up to the period, by largest remainders."""
+    """source, chars, n: whole shares that add up to the period, by largest remainders.
+
+    With more sources than ``period`` they add up to a multiple of it, see above."""
     if weights is None:
         weight = F.sqrt(F.col("chars").cast("double")) + 1
     else:
@@ -39,7 +44,8 @@ def source_shares(totals: DataFrame, period: int, weights: dict[str, float] | No
         weight = F.coalesce(given[F.col("source")].cast("double"), F.lit(0.0))
     # A table of one row for each source.
     every = Window.partitionBy()
-    free = F.lit(period) - F.count(F.lit(1)).over(every)
+    count = F.count(F.lit(1)).over(every)
+    free = F.when(count <= period, period).otherwise(period * (F.ceil(count / period) + 1)) - count
     shared = totals.withColumn("_w", weight).withColumn("_sum", F.sum("_w").over(every)).withColumn("_free", free)
     exact = F.when(F.col("_sum") > 0, F.col("_w") / F.col("_sum")).otherwise(0) * F.col("_free")
     cut = shared.withColumn("_exact", exact).withColumn("_floor", F.floor("_exact"))
@@ -51,20 +57,26 @@ def source_shares(totals: DataFrame, period: int, weights: dict[str, float] | No
 
 
 def period_schedule(shares: DataFrame, period: int) -> DataFrame:
-    """source, n, k, at: the slot of the k-th block of each source in a period."""
-    listed = shares.agg(F.array_sort(F.collect_list(F.struct("source", "n"))).alias("s")).where("size(s) > 0")
-    released = f"filter(sequence(0, size(s) - 1), i -> floor(a.done[i] * {period} / s[i].n) <= t)"
-    deadline = f"ceil((a.done[i] + 1) * {period} / s[i].n)"
-    first = f"array_min(transform({released}, i -> struct({deadline} as due, i as i)))"
+    """source, n, k, at: the slot of the k-th block of each source in a period, which is as long as
+    the shares add up to and at least ``period``."""
+    numbered = shares.select("source", "n", (F.row_number().over(Window.partitionBy().orderBy("source")) - 1).alias("i"))
+    # Members of a class, the sources of one share, are served in turn: block d of the class is block d div c of one of c.
+    classes = numbered.groupBy("n").agg(F.array_sort(F.collect_list("i")).alias("members"))
+    listed = classes.agg(
+        F.collect_list(F.struct("n", "members")).alias("g"), F.greatest(F.sum(F.col("n") * F.size("members")), F.lit(period)).alias("q")
+    ).where("size(g) > 0")
+    turn = "(a.done[c] div size(g[c].members))"
+    released = f"filter(sequence(0, size(g) - 1), c -> {turn} * q div g[c].n <= t)"
+    deadline = f"ceil(({turn} + 1) * q / g[c].n)"
+    member = "g[c].members[cast(a.done[c] % size(g[c].members) as int)]"
+    first = f"array_min(transform({released}, c -> struct({deadline} as due, {member} as i, c as c)))"
     step = (
         f"transform(array({first}), f -> named_struct("
-        "'done', transform(a.done, (d, i) -> if(i = f.i, d + 1L, d)), 'picks', concat(a.picks, array(f.i))))[0]"
-    )
-    start = "named_struct('done', array_repeat(0L, size(s)), 'picks', cast(array() as array<int>))"
-    picks = F.expr(f"aggregate(sequence(0, {period} - 1), {start}, (a, t) -> {step}, a -> a.picks)")
-    slots = listed.select("s", F.posexplode(picks).alias("at", "i")).select(
-        F.expr("s[i].source").alias("source"), F.expr("s[i].n").alias("n"), "at"
+        "'done', transform(a.done, (d, c) -> if(c = f.c, d + 1L, d)), 'picks', concat(a.picks, array(f.i))))[0]"
     )
+    start = "named_struct('done', array_repeat(0L, size(g)), 'picks', cast(array() as array<int>))"
+    picks = F.expr(f"aggregate(sequence(0L, q - 1), {start}, (a, t) -> {step}, a -> a.picks)")
+    slots = listed.select(F.posexplode(picks).alias("at", "i")).join(numbered, "i").select("source", "n", "at")
     order = Window.partitionBy("source").orderBy("at")
     return slots.withColumn("k", F.row_number().over(order) - 1)
 
@@ -92,17 +104,18 @@ def interleave(
     shares = source_shares(slices.groupBy("source").agg(F.sum("_chars").alias("chars")), period, weights)
     schedule = period_schedule(shares, period)
     # The last block of each source, and the first slot at which one of them is used up.
-    last = shares.withColumn("_last", F.greatest(F.ceil(F.col("chars") / block_chars) - 1, F.lit(0)))
+    whole = F.greatest(F.sum("n").over(Window.partitionBy()), F.lit(period))
+    last = shares.withColumn("_last", F.greatest(F.ceil(F.col("chars") / block_chars) - 1, F.lit(0))).withColumn("_period", whole)
     ends = last.withColumn("k", (F.col("_last") % F.col("n")).cast("int")).join(schedule.drop("n"), ["source", "k"])
-    used_up = F.floor(F.col("_last") / F.col("n")) * period + F.col("at")
-    sources = ends.select("source", "n", F.min(used_up).over(Window.partitionBy()).alias("_end"))
+    used_up = F.floor(F.col("_last") / F.col("n")) * F.col("_period") + F.col("at")
+    sources = ends.select("source", "n", "_period", F.min(used_up).over(Window.partitionBy()).alias("_end"))
     by_source = offsets.drop("_chars").join(sources, "source")
     inside = Window.partitionBy("source", "_slice").orderBy("_order", "doc_id", "chars", "_tie")
     before = F.coalesce(F.sum("chars").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = rows.withColumn("_before", before).join(by_source, ["source", "_slice"])
     block = F.floor((F.col("_offset") + F.col("_before")) / block_chars)
     cut = placed.withColumn("block", block).withColumn("k", (F.col("block") % F.col("n")).cast("int"))
-    slot = F.floor(F.col("block") / F.col("n")) * period + F.col("at")
+    slot = F.floor(F.col("block") / F.col("n")) * F.col("_period") + F.col("at")
     out = cut.join(schedule.drop("n"), ["source", "k"]).withColumn("slot", slot.cast("bigint"))
     carried = ["row"] if carry else []
     return out.select("doc_id", "source", "chars", "block", "slot", (F.col("slot") <= F.col("_end")).alias("in_mix"), *carried)

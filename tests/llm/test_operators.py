@@ -283,3 +283,23 @@ def test_keep_one_finds_all_similar_texts(spark):
     least = {r: min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in root}
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(least.values())
+
+
+@pytest.mark.parametrize("sources", [1, 7, 20, 21, 95])
+def test_mixing_with_more_sources_than_the_period(spark, sources):
+    """Blocks lie where earliest deadline first over all sources puts them, and none is lost."""
+    rows = [(i, "x" * (i % 9 * 10), f"s{i % sources:03}") for i in range(3 * sources)]
+    period = 20 if sources <= 20 else 20 * (-(-sources // 20) + 1)
+    out = mixing.interleave(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), period=20, block_chars=40).collect()
+    assert sorted(r.doc_id for r in out) == list(range(3 * sources))
+    totals = [(f"s{i:03}", 10 * i * i) for i in range(sources)]
+    shares = mixing.source_shares(spark.createDataFrame(totals, "source string, chars bigint"), 20)
+    n = {r.source: r.n for r in shares.collect()}
+    assert sum(n.values()) == period and min(n.values()) >= 1
+    done, expected = dict.fromkeys(n, 0), []
+    for at in range(period):
+        ready = [(-(-(done[s] + 1) * period // n[s]), s) for s in n if done[s] * period // n[s] <= at]
+        s = min(ready)[1]
+        expected.append((s, n[s], done[s], at))
+        done[s] += 1
+    same(mixing.period_schedule(shares, 20).select("source", "n", "k", "at"), expected)
