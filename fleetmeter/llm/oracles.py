@@ -88,10 +88,39 @@ select doc_id, run.source, run.chars, cast(block as bigint) as block, cast(block
 from run join src on run.source = src.source join sched on sched.i = src.i and sched.k = block % n
 """
 
+#: CRC32 of a text's bytes: each byte, then eight shifts (entries of -1).
+CRC32 = """list_reduce(
+  list_prepend(4294967295, flatten(list_transform(string_split({text}, ''),
+    lambda c: list_concat([cast(ascii(c) as bigint)], list_transform(range(8), lambda b: cast(-1 as bigint)))))),
+  lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, case when a & 1 = 1 then 3988292384 else 0 end) end)"""
+PREFIX_TRIE = f"""
+with t as (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null),
+o as (select conv_id, list({{'r': r, 'x': x}} order by turn nulls first, r, md5(length(r) || ':' || r || x)) as own from t group by conv_id),
+h as (select conv_id, own, xor({CRC32.format(text="cast(conv_id as varchar)")}, 4294967295) % 9 as h from o),
+c as (select h.conv_id, list_concat(coalesce(b.own, [])[1:h], h.own[h + 1:]) as s
+      from h left join o b on b.conv_id = h.conv_id - h.conv_id % 5),
+k as (select conv_id, s, list_transform(range(len(s) + 1), lambda d: md5(cast(s[1:d] as varchar) || d)) as keys from c),
+p as (select conv_id, s, keys, unnest(range(len(s) + 1)) as depth from k),
+g as (select keys[depth + 1] as key, depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(keys[depth]) as up,
+             any_value(case when depth > 0 then strlen(s[depth].x) else 0 end) as size,
+             sha256(coalesce(string_agg(conv_id, ',' order by conv_id) filter (where len(s) = depth), '')) as ends_sha256
+      from p group by 1, 2),
+m as (select distinct keys, len(s) as last from k),
+ch as (select up, count(*) as n from g group by up),
+w as (select g.*, coalesce(ch.n, 0) as n_children from g left join ch on ch.up = g.key),
+anc as (select distinct unnest(keys[1:d + 1]) as top, keys[d + 1] as key from (select keys, unnest(range(last + 1)) as d from m)),
+sub as (select top, count(*) filter (where n_children = 0) as n_leaves, sum((n_convs - 1) * size) as saved_tokens
+        from anc join w on w.key = anc.key group by top)
+select w.conv_id, cast(w.depth as bigint) as depth, u.conv_id as parent_conv_id, cast(w.n_convs as bigint) as n_convs, w.n_children, sub.n_leaves,
+       cast(sub.saved_tokens as bigint) as saved_tokens, w.ends_sha256
+from w join sub on sub.top = w.key left join g u on u.key = w.up
+"""
+
 ORACLES = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op3_decontaminate": DECONTAMINATE,
     "op5_line_dedup": LINE_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op10_mixing": MIXING,
+    "op11_prefix_trie": PREFIX_TRIE,
 }

@@ -12,6 +12,7 @@ from fleetmeter.llm import (
     line_dedup,
     lm_score,
     mixing,
+    prefix_trie,
     quality,
     simhash,
     substring_dedup,
@@ -92,6 +93,16 @@ def op10_mixing(spark, sf_dir):
     return mixing.interleave(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    convs = prefix_trie.conversations(
+        turns, head=lambda c: F.crc32(c.cast("string").cast("binary")) % 9, base=lambda c: c - c % 5
+    )
+    trie = prefix_trie.prefix_trie(convs)
+    nodes = trie.nodes.join(prefix_trie.ends_digest(trie.ends), ["conv_id", "depth"], "left")
+    return nodes.withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -103,4 +114,5 @@ QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_prefix_trie": op11_prefix_trie,
 }

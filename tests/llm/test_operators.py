@@ -207,6 +207,8 @@ def test_empty_tables(spark, tmp_path, name):
         ("documents", "doc_id bigint, text string, lang string, source string, n_chars bigint"),
         ("benchmark", "item_id bigint, text string"),
         ("labels", "doc_id bigint, quality int, toxic int"),
+        ("conversations", "conv_id bigint, turn bigint, role string, text string"),
+        ("embeddings", "vec_id bigint, embedding array<float>, label int"),
     ):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{table}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == 0
