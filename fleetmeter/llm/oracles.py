@@ -116,6 +116,22 @@ select w.conv_id, cast(w.depth as bigint) as depth, u.conv_id as parent_conv_id,
 from w join sub on sub.top = w.key left join g u on u.key = w.up
 """
 
+HARD_NEGATIVES = """
+with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q from embeddings
+           where vec_id is not null and label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, c.vec_id, c.label = a.label as same, cast(list_inner_product(a.q, c.q) as bigint) as score
+      from r a join r c on a.vec_id <> c.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, cast(row_number() over w as integer) as rank, vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= 5
+"""
+
 ORACLES = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op3_decontaminate": DECONTAMINATE,
@@ -123,4 +139,5 @@ ORACLES = {
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op10_mixing": MIXING,
     "op11_prefix_trie": PREFIX_TRIE,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

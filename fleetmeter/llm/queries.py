@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetmeter.llm import (
     decontaminate,
     exact_dedup,
+    hard_negatives,
     language_id,
     line_dedup,
     lm_score,
@@ -103,6 +104,13 @@ def op11_prefix_trie(spark, sf_dir):
     return nodes.withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", F.col("rank").cast("int"), "negative_id", "positive_score", "negative_score")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -115,4 +123,5 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives,
 }
