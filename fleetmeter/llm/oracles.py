@@ -132,6 +132,19 @@ window w as (partition by anchor_id, positive_id order by score desc, vec_id)
 qualify row_number() over w <= 5
 """
 
+NGRAM_JOIN = rf"""
+with recursive d as (select doc_id, regexp_extract_all({low("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') as w from documents),
+g as (select doc_id, unnest(list_distinct(case
+        when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' '))
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as s from d),
+n as (select doc_id, count(*) as n from g group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as k from g a join g b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+r as (select doc_id, doc_id as reached from d union select r.doc_id, l.b from r join l on l.a = r.reached)
+select r.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(reached) as component_id
+from r left join n on n.doc_id = r.doc_id group by r.doc_id
+"""
+
 ORACLES = {
     "op2_exact_dedup": EXACT_DEDUP,
     "op3_decontaminate": DECONTAMINATE,
@@ -140,4 +153,5 @@ ORACLES = {
     "op10_mixing": MIXING,
     "op11_prefix_trie": PREFIX_TRIE,
     "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_ngram_join": NGRAM_JOIN,
 }

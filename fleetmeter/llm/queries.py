@@ -13,6 +13,7 @@ from fleetmeter.llm import (
     line_dedup,
     lm_score,
     mixing,
+    ngram_join,
     prefix_trie,
     quality,
     simhash,
@@ -111,6 +112,10 @@ def op12_hard_negatives(spark, sf_dir):
     return found.select("anchor_id", "positive_id", F.col("rank").cast("int"), "negative_id", "positive_score", "negative_score")
 
 
+def op13_ngram_join(spark, sf_dir):
+    return ngram_join.similar_sets(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_dedup": op2_exact_dedup,
@@ -124,4 +129,5 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_ngram_join": op13_ngram_join,
 }
