@@ -54,7 +54,7 @@ SUBSET, COUNTED, ENTRY = 3.0, 0.5, 3.0
 #: Shingles of one hash bucket on average, and text of one slice.
 BUCKET, SLICE = 2_000_000, 8 << 20
 #: Hubs are tried while so large a share of their candidates is similar.
-WORTHWHILE = 1 / 8
+WORTHWHILE = 1 / 2
 #: Members of a block of a list, bits of a sketch, and the first number of candidates a member gives.
 BLOCK, SKETCH, NEAREST = 2048, 512, 2
 U64 = np.uint64
