@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.dates import as_date
@@ -37,6 +37,30 @@ def merge_history(new: DataFrame, old: DataFrame | None) -> DataFrame:
     return both.groupBy(*KEY).agg(newest).select(*KEY, "_newest.*").select(RUN_DAY_COLUMNS)
 
 
+def merge_unique(new: DataFrame, old: DataFrame) -> DataFrame:
+    """``merge_history`` for an ``old`` history that has one record per run and day, as stored.
+
+    Only the new rows are folded. Then each side loses its rows that the other one beats,
+    by joins on the key: while the new rows are few they are broadcast, and the old
+    ones stay where they were read, neither shuffled nor sorted.
+    """
+    new, old = set_schema(new), set_schema(old)
+    rest = [c for c in RUN_DAY_COLUMNS if c not in KEY and c != "logged_at"]
+    newest = F.max(F.struct("logged_at", *rest)).alias("_newest")
+    folded = new.groupBy(*KEY).agg(newest).select(*KEY, "_newest.*").select(RUN_DAY_COLUMNS)
+
+    def beaten(rows: DataFrame, other: DataFrame, wins) -> DataFrame:
+        """Rows without one of ``other`` under the same key that wins."""
+        named = other.select([F.col(c).alias(f"_{c}") for c in (*KEY, "logged_at")])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]
+        return rows.join(named, [*same, wins(F.col("_logged_at"), F.col("logged_at"))], "left_anti")
+
+    # A time goes before none, and new before old on a tie.
+    kept = beaten(old, folded, lambda a, b: b.isNull() | F.coalesce(a >= b, F.lit(False)))
+    added = beaten(folded, old, lambda a, b: a.isNotNull() & F.coalesce(a > b, F.lit(True)))
+    return kept.unionByName(added)
+
+
 def order_history(history: DataFrame) -> DataFrame:
     """Listing order: company, newest day first, run, project."""
     return history.orderBy("company_name", F.desc("date"), "run_id", "project")
@@ -52,21 +76,32 @@ def update_history(
 ) -> DataFrame:
     """Merge ``new`` into the history table at ``path`` and return the whole history.
 
-    New rows lie between ``start`` and ``end`` (one that does not is an error), so
-    only those date partitions are read, merged and replaced; the rest of the
-    history is not touched. The merged rows are materialised in the shared folder
-    first, as they come from the partitions about to be replaced.
+    New rows lie between ``start`` and ``end`` (one that does not is an error). Only the
+    dates they have are read, merged and replaced: the scan of the history is pruned by
+    them, and the partitions of all other dates stay as they are. New and merged
+    rows are materialised in the shared folder first, as the merged ones come from the
+    partitions about to be replaced.
     """
     between = F.col("date").between(F.lit(as_date(start)), F.lit(as_date(end)))
     in_range = F.coalesce(between, F.lit(False))
     day = F.coalesce(F.col("date").cast("string"), F.lit("none"))
     outside = F.raise_error(F.concat(F.lit("run day outside the range: "), day))
     new = new.where(F.when(in_range, F.lit(True)).otherwise(outside.cast("boolean")))
-    old = read_history(spark, path).where(between) if table_exists(spark, path) else None
-    write_history_days(cut_lineage(merge_history(new, old), shared), path)
+    if table_exists(spark, path):
+        new = cut_lineage(set_schema(new), shared)
+        merged = merge_unique(new, touched_days(read_history(spark, path), new, between))
+    else:
+        merged = merge_unique(new, spark.createDataFrame([], RUN_DAYS))
+    write_history_days(cut_lineage(merged, shared), path)
     return read_history(spark, path)
 
 
+def touched_days(history: DataFrame, new: DataFrame, between: Column) -> DataFrame:
+    """The history of the dates that ``new`` has; partitions of others are pruned at run time."""
+    days = new.select("date").where(between).distinct()
+    return history.where(between).join(days, "date", "left_semi").select(RUN_DAY_COLUMNS)
+
+
 def company_row_counts(history: DataFrame) -> DataFrame:
     """Rows per company, and the grand total in the row whose company is null."""
     counts = history.groupBy("company_name").agg(F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.columns import local_day, nan_to_null
-from fleetmeter.functions.dates import REPORT_TZ, as_date
+from fleetmeter.functions.dates import REPORT_TZ, as_date, utc_midnight
 
 # Names of the device metrics in a wide export.
 GPU_PATTERN = r"`system\.gpu\.\d+\.gpu`"
@@ -82,20 +82,14 @@ def _long_partials(samples: DataFrame) -> DataFrame:
     return samples.select("run_path", "_timestamp", "gpu_index", "metric", *of("gpu"), *of("memory"))
 
 
-def metrics_daily(
-    samples: DataFrame,
-    start: str | dt.date,
-    end: str | dt.date,
-    tz: str = REPORT_TZ,
-    with_span: bool = False,
+def _per_day(
+    samples: DataFrame, start: str | dt.date, end: str | dt.date, tz: str
 ) -> DataFrame:
-    """Mean and maximum of GPU use and GPU memory per run and local day.
+    """Samples folded per run and local day; those out of the range are in the null date of their run.
 
-    Readings of all devices are pooled. Runs with a single sample, counted over
-    all days, and runs without any device reading give no row. ``samples`` may be
-    wide or long. Samples are folded per run and day before they are shuffled, so
-    a run with very many samples costs no more than any other there; long ones are
-    folded per device and metric first, which takes one more shuffle.
+    Samples are folded before they are shuffled, so a run with very many samples costs
+    no more than any other there; long ones are folded per device and metric first,
+    which takes one more shuffle.
     """
     wide = "metric" not in samples.columns
     partials = _wide_partials(samples) if wide else _long_partials(samples)
@@ -118,13 +112,24 @@ def metrics_daily(
             F.count(F.lit(1)).alias("rows"), *folds
         )
         samples_of_day = F.max("rows")
-    per_day = dated.groupBy("run_path", "date").agg(samples_of_day.alias("samples"), *folds)
-    # Out-of-range samples sit in the null date of their run: still counted here.
+    return dated.groupBy("run_path", "date").agg(samples_of_day.alias("samples"), *folds)
+
+
+def _with_totals(per_day: DataFrame) -> DataFrame:
+    """Add the run's samples and readings, over all of its rows."""
     run = Window.partitionBy("run_path")
-    many = F.sum("samples").over(run) > 1
-    readings = F.sum(F.col("gpu_n") + F.col("memory_n")).over(run) > 0
-    kept = per_day.withColumns({"_many": many, "_readings": readings}).where(
-        F.col("_many") & F.col("_readings") & F.col("date").isNotNull()
+    return per_day.withColumns(
+        {
+            "_samples": F.sum("samples").over(run),
+            "_readings": F.sum(F.col("gpu_n") + F.col("memory_n")).over(run),
+        }
+    )
+
+
+def _daily_measures(per_day: DataFrame, with_span: bool) -> DataFrame:
+    """Rows of the range, of runs with several samples and any reading."""
+    kept = per_day.where(
+        (F.col("_samples") > 1) & (F.col("_readings") > 0) & F.col("date").isNotNull()
     )
     columns = [
         F.try_divide("gpu_sum", "gpu_n").alias("average_gpu_utilization"),
@@ -135,3 +140,72 @@ def metrics_daily(
     if with_span:
         columns.append(((F.col("last_ts") - F.col("first_ts")) / 3600).alias("metrics_hours"))
     return kept.select("run_path", "date", *columns)
+
+
+def metrics_daily(
+    samples: DataFrame,
+    start: str | dt.date,
+    end: str | dt.date,
+    tz: str = REPORT_TZ,
+    with_span: bool = False,
+) -> DataFrame:
+    """Mean and maximum of GPU use and GPU memory per run and local day.
+
+    Readings of all devices are pooled. Runs with a single sample, counted over
+    all days, and runs without any device reading give no row. ``samples`` may be
+    wide or long.
+    """
+    return _daily_measures(_with_totals(_per_day(samples, start, end, tz)), with_span)
+
+
+def metrics_of_runs(
+    samples: DataFrame,
+    runs: DataFrame,
+    start: str | dt.date,
+    end: str | dt.date,
+    tz: str = REPORT_TZ,
+    with_span: bool = False,
+) -> DataFrame:
+    """The rows of ``metrics_daily`` that belong to ``runs`` (by run_path), from few of the samples.
+
+    First only samples in the range are read: the scan skips row groups by the range's
+    epoch bounds, and a semi-join keeps the runs' own. That settles every run with two
+    samples and a reading there. Samples before and after the range are then looked up
+    for the other runs only, those that may owe their rows to samples outside.
+    """
+    first, last = as_date(start), as_date(end)
+    low, high = (
+        day.replace(tzinfo=dt.UTC).timestamp()
+        for day in (utc_midnight(first, tz), utc_midnight(last + dt.timedelta(days=1), tz))
+    )
+    # A second wider than the range, whose bounds are exact to the microsecond.
+    time = F.col("_timestamp")
+    near = (time >= low - 1) & (time < high + 1)
+    mine = runs.select("run_path").distinct()
+    inside = _per_day(samples.where(near).join(mine, "run_path", "left_semi"), first, last, tz)
+    settled = _with_totals(inside)
+    doubtful = (
+        inside.groupBy("run_path")
+        .agg(
+            F.sum("samples").alias("n"),
+            F.sum(F.col("gpu_n") + F.col("memory_n")).alias("readings"),
+        )
+        .where((F.col("n") <= 1) | (F.col("readings") == 0))
+        .select("run_path")
+    )
+    beyond = samples.where((time < low - 1) | (time >= high + 1) | time.isNull())
+    outside = (
+        _per_day(beyond.join(doubtful, "run_path", "left_semi"), first, last, tz)
+        .groupBy("run_path")
+        .agg(
+            F.sum("samples").alias("_more"),
+            F.sum(F.col("gpu_n") + F.col("memory_n")).alias("_more_readings"),
+        )
+    )
+    whole = settled.join(outside, "run_path", "left").withColumns(
+        {
+            "_samples": F.col("_samples") + F.coalesce("_more", F.lit(0)),
+            "_readings": F.col("_readings") + F.coalesce("_more_readings", F.lit(0)),
+        }
+    )
+    return _daily_measures(whole, with_span)

@@ -42,6 +42,12 @@ def untagged_count(retagged: DataFrame) -> DataFrame:
 
 
 def latest_tables(registry: DataFrame, published: DataFrame, latest: str) -> DataFrame:
-    """Rows of ``published`` that belong to runs carrying the latest tag."""
-    runs = with_tag(registry, latest).select(F.col("run_id").alias("published_by"))
-    return published.join(runs, "published_by", "left_semi")
+    """Rows of ``published`` that belong to runs carrying the latest tag.
+
+    Where ``published`` has the partition ``run``, the names of these runs prune it: files of
+    other runs are not opened.
+    """
+    runs = with_tag(registry, latest).select(F.col("run_id").alias("published_by"), F.col("name").alias("run"))
+    if "run" not in published.columns:
+        return published.join(runs, "published_by", "left_semi")
+    return published.join(runs.where(F.length("run") > 0), ["run", "published_by"], "left_semi")

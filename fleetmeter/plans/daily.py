@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fleetmeter.functions.dates import REPORT_TZ, as_date
 from fleetmeter.operators.gpu_count import with_gpu_count
 from fleetmeter.operators.history import update_history
-from fleetmeter.operators.metrics import metrics_daily
+from fleetmeter.operators.metrics import metrics_of_runs
 from fleetmeter.operators.quality import (
     NO_DATA_TITLE,
     OVERALL,
@@ -27,7 +27,12 @@ from fleetmeter.plans.reports import UsageReports
 from fleetmeter.schemas import REGISTRY
 from fleetmeter.session import cut_lineage
 from fleetmeter.sources.config import team_table
-from fleetmeter.sources.tables import read_registry, record_alerts, spread_writers, table_exists
+from fleetmeter.sources.tables import (
+    read_registry,
+    record_alerts,
+    spread_writers,
+    write_registry,
+)
 
 # Periods in the short company tables, and the published names.
 RECENT_DAYS = 30
@@ -63,7 +68,7 @@ def collect_run_days(
     runs = with_gpu_count(
         valid_runs(nodes, windows, start, end, ignore_tags, tz, validate), rules
     )
-    metrics = None if samples is None else metrics_daily(samples, start, end, tz)
+    metrics = None if samples is None else metrics_of_runs(samples, runs, start, end, tz)
     return build_run_days(runs, metrics, start, end, logged_at)
 
 
@@ -137,7 +142,6 @@ def update_registry(
     companies: DataFrame,
     end: str | dt.date,
     latest: str,
-    shared: str | None = None,
 ) -> DataFrame:
     """Take the latest tag off earlier published runs and enter the runs of ``end``."""
     name = RUN_NAME.format(end=as_date(end))
@@ -149,12 +153,11 @@ def update_registry(
         F.lit(name).alias("name"),
         F.array("company", F.lit(latest)).alias("tags"),
     )
-    if table_exists(spark, path):
-        earlier = retag_latest(read_registry(spark, path), companies, latest)
-        # A second publication of the same day replaces the first one's entries.
-        earlier = earlier.join(entries.select("run_id"), "run_id", "left_anti")
-        entries = earlier.select(REGISTRY.fieldNames()).unionByName(entries)
-    cut_lineage(entries, shared).write.mode("overwrite").parquet(path)
+    earlier = retag_latest(read_registry(spark, path), companies, latest)
+    # A second publication of the same day replaces the first one's entries.
+    earlier = earlier.join(entries.select("run_id"), "run_id", "left_anti")
+    # A new version: what it is made from stays as it is, and readable if the write fails.
+    write_registry(earlier.select(REGISTRY.fieldNames()).unionByName(entries), path)
     return read_registry(spark, path)
 
 
@@ -188,6 +191,6 @@ def daily_update(
     summary = company_summary(history, team_table(companies), end, ignore_tags)
     publish(overall_tables(reports), places.published, name, by_company=False)
     publish(company_tables(reports, summary), places.published, name, by_company=True)
-    update_registry(spark, places.registry, companies, end, latest, places.shared)
+    update_registry(spark, places.registry, companies, end, latest)
     record_alerts(alerts_of(reports, companies, enable_alert), "daily_update", as_date(end), places.alerts)
     return reports

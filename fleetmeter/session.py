@@ -38,10 +38,15 @@ def build_session(
 
 def shared_folder(spark: SparkSession, when_unset: str | None = None) -> str:
     """The folder named by ``spark.checkpoint.dir``, else ``when_unset``, else one in the
-    session's warehouse, which all executors share as well."""
+    session's warehouse. On a cluster a warehouse on local disks is refused: executors
+    would not see each other's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or when_unset
     if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        alone = spark.sparkContext.master.startswith("local")
+        if not alone and (warehouse.startswith("file:") or "://" not in warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = f"{warehouse}/shared"
     return folder.rstrip("/")
 
 

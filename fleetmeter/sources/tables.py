@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from fleetmeter import schemas
+from fleetmeter.sources.versions import Versions
 
 # Date and timestamp text in the CSV files.
 CSV_DATE = "yyyy-MM-dd"
@@ -84,8 +86,48 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RUN_DAYS).parquet(path).select(schemas.RUN_DAY_COLUMNS)
 
 
+# Text in CSV files of the history: line breaks never appear in a file as they are, so a file can
+# be read in splits, and empty text is not taken for null.
+ESCAPES = {"\n": "\\n", "\r": "\\r"}
+EMPTY = "\\e"
+
+
+def _replaced(c: Column, texts: dict[str, str]) -> Column:
+    for text, by in texts.items():
+        c = F.replace(c, F.lit(text), F.lit(by))
+    return c
+
+
+def escape_text(c: Column) -> Column:
+    return F.when(c == "", F.lit(EMPTY)).otherwise(_replaced(c, {"\\": "\\\\"} | ESCAPES))
+
+
+def unescape_text(c: Column) -> Column:
+    # What stands between doubled backslashes holds single ones only, so each part is undone by itself.
+    undone = {escaped: plain for plain, escaped in ESCAPES.items()}
+    parts = F.transform(F.split(c, r"\\\\"), lambda part: _replaced(part, undone))
+    return F.when(c == EMPTY, F.lit("")).otherwise(F.array_join(parts, "\\"))
+
+
+def _on_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    return df.select(
+        [
+            change(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+    )
+
+
 def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.RUN_DAYS)
+    return _on_text(read_csv(spark, path, schemas.RUN_DAYS), unescape_text)
+
+
+def latest_history_csv(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version of the CSV history; an empty one if there is none."""
+    newest = Versions(spark, root).current()
+    if newest is None:
+        return spark.createDataFrame([], schemas.RUN_DAYS)
+    return read_history_csv(spark, f"{newest}/*")
 
 
 def write_history_days(df: DataFrame, path: str) -> None:
@@ -114,10 +156,11 @@ def spread_writers(df: DataFrame, column: str) -> DataFrame:
 
 
 def write_history_csv(df: DataFrame, root: str, end: str | dt.date) -> str:
-    """A full CSV copy of the history as a new version under ``root``."""
-    path = f"{root.rstrip('/')}/version={end}"
-    write_csv(df, path)
-    return path
+    """A full CSV copy of the history as a new version under ``root``; an end date may have several."""
+    label = f"version={end}"
+    text = _on_text(df, escape_text)
+    folder = Versions(df.sparkSession, root).commit(lambda path: write_csv(text, f"{path}/{label}"))
+    return f"{folder}/{label}"
 
 
 def record_alerts(alerts: DataFrame, source: str, raised_for: str | dt.date, root: str) -> None:
@@ -129,8 +172,33 @@ def record_alerts(alerts: DataFrame, source: str, raised_for: str | dt.date, roo
     alerts.write.mode("overwrite").parquet(f"{root.rstrip('/')}/raised_for={raised_for}/source={source}")
 
 
+def registry_exists(spark: SparkSession, path: str) -> bool:
+    return Versions(spark, path).current() is not None
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.REGISTRY).parquet(path)
+    """The newest version of the registry of published runs."""
+    newest = Versions(spark, path).current()
+    if newest is None:
+        return spark.createDataFrame([], schemas.REGISTRY)
+    return spark.read.schema(schemas.REGISTRY).parquet(newest)
+
+
+def write_registry(df: DataFrame, path: str, keep: int = 10) -> None:
+    """A new version of the registry. Earlier ones stay readable, the ``keep`` newest for good."""
+    versions = Versions(df.sparkSession, path)
+    versions.commit(lambda folder: df.write.parquet(folder))
+    versions.keep(keep)
+
+
+def read_published(spark: SparkSession, root: str, table: str, schema: StructType, by_company: bool) -> DataFrame:
+    """A published table with the columns of its partitions as text: ``run``, and ``company`` if
+    it is written by company. A company named 12 stays text."""
+    names = ["run", *(["company"] if by_company else [])]
+    stated = StructType([f for f in schema.fields if f.name not in (*names, "published_by")])
+    for name in ("published_by", *names):
+        stated = stated.add(name, StringType())
+    return spark.read.schema(stated).option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
 
 
 def with_tag(registry: DataFrame, tag: str | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ written once as common table expressions and put before each query that uses the
 
 from __future__ import annotations
 
+from verification.views import SPARSE
+
 TEAM = "case when event_id % 40 = 7 then 'guest' else 'team-' || user_id end"
 MINUTES = "cast(floor(case when event_id % 20 = 0 then value * 60 else value end) as int)"
 STATE = "case event_id % 3 when 0 then 'finished' when 1 then 'running' else 'crashed' end"
@@ -170,6 +172,22 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
            from reading where event_id % 13 <> 0 and date between date '2024-01-01' and {TARGET}
            group by all""",
     ),
+    "sparse": (
+        (),
+        f"""select {TEAM} || '/' || event_type || '/r' || event_id run_path, event_id, has,
+             epoch_us(ts) / 1000000.0 + off _timestamp,
+             case when has = 1 then cast((event_id * 31 + off) % 101 + 101 as double) end gpu,
+             case when has = 1 then cast((event_id * 41 + off) % 101 + 101 as double) end memory,
+             cast(ts + interval 9 hours + to_seconds(cast(off as int)) as date) as date
+           from events join (values {", ".join(map(str, SPARSE))}) as s(m, off, has) on m = event_id % 6""",
+    ),
+    "sparse_day": (
+        ("sparse",),
+        f"""select run_path, event_id, date, avg(gpu) average_gpu_utilization, max(gpu) max_gpu_utilization,
+             avg(memory) average_gpu_memory, max(memory) max_gpu_memory
+           from (select *, count(*) over w as n, sum(has) over w as readings from sparse window w as (partition by event_id))
+           where n > 1 and readings > 0 and date between date '2024-01-01' and {TARGET} group by all""",
+    ),
     "run_row": (
         ("run_day",),
         """select date, company_name, project, run_id, tags, created_at, updated_at, state,
@@ -348,6 +366,23 @@ FINALS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "metrics_daily": (("metric_day",), "select * from metric_day"),
     "metrics_daily_long": (("metric_day",), "select * from metric_day"),
+    "metrics_long_all": (
+        ("sample", "reading"),
+        """select run_path, _timestamp, cast(gpu_index as int) gpu_index, metric, r.value
+           from sample cross join (values (0), (1)) as g(gpu_index) cross join (values ('gpu'), ('memory')) as m(metric)
+           left join reading r using (run_path, _timestamp, gpu_index, metric)""",
+    ),
+    "metrics_daily_span": (
+        ("metric_day", "sample"),
+        """select m.*, hours as metrics_hours from metric_day m join (
+             select run_path, date, (max(_timestamp) - min(_timestamp)) / 3600 as hours from sample group by all)
+           using (run_path, date)""",
+    ),
+    "metrics_daily_sparse": (("sparse_day",), "select * exclude (event_id) from sparse_day"),
+    "metrics_of_runs": (
+        ("sparse_day", "valid"),
+        "select * exclude (event_id) from sparse_day where event_id in (select event_id from valid)",
+    ),
     "run_days_with_metrics": (
         ("valid", "counted", "metric_day"),
         f"""select t.date, v.team company_name, project, v.run_id,
@@ -514,8 +549,57 @@ FINALS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
 }
 
+FINALS |= {
+    "history_update_late": (
+        ("run_row",),
+        """with days as (select * from run_row where date in (date '2024-01-04', date '2024-01-18')),
+           late as (select * replace (gpu_count + 100 as gpu_count, case when gpu_count % 3 = 0
+               then timestamp '2024-01-01' else timestamp '2024-02-03' end as logged_at) from days),
+           new as (select * from late union all by name
+             select * replace (run_id || '-late' as run_id) from late where gpu_count = 101)
+           select * exclude (rn, fresh) from (select *, row_number() over (partition by date, company_name, project, run_id
+               order by logged_at desc, fresh desc) rn
+             from (select *, 0 as fresh from run_row union all by name select *, 1 as fresh from new)) where rn = 1""",
+    ),
+    "csv_round_trip_text": (
+        ("run_row",),
+        """select * replace (case cast(substr(run_id, 2) as bigint) % 9 when 0 then 'a' || chr(10) || 'b'
+               when 1 then 'c' || chr(13) || chr(10) || ',"d"' when 2 then '' when 3 then ' e '
+               when 4 then 'f' || chr(92) || 'ng' when 5 then chr(92) when 6 then '"' when 7 then null
+               else chr(92) || 'e' end as host_name,
+             case when cast(substr(run_id, 2) as bigint) % 5 = 0 then '' else tags end as tags) from run_row""",
+    ),
+    "latest_history_version": (("run_row",), "select * from run_row where date < date '2024-01-21'"),
+    "registry_update": (
+        ("registry", "company"),
+        """select run_id, name, array_to_string(case when list_contains(tags, 'latest') and (list_contains(tags, 'overall')
+               or list_has_any(tags, (select list(company) from company)))
+               then list_filter(tags, lambda t: t <> 'latest') else tags end, ',') tags from registry
+           union all select name || '/' || owner, name, owner || case when name = 'Tables_2024-02-06' then ',latest' else '' end
+           from (values ('Tables_2024-02-05'), ('Tables_2024-02-06')) as n(name)
+             cross join (select company as owner from company union all select 'overall')""",
+    ),
+    "latest_published": (
+        ("report_daily",),
+        """select *, 'Tables_2024-02-06/' || company published_by, 'Tables_2024-02-06' as run from report_daily""",
+    ),
+    "alerts_table": (
+        ("company", "report_daily"),
+        """select *, 'daily_update' as source, '2024-02-06' as raised_for from (
+             select 'warning' title, 'No data available for company: ' || company as text from company
+             where company not in (select company from report_daily)
+             union all select 'warning', 'No data available for overall, monthly, and weekly tables'
+             where not exists (select 1 from report_daily)
+             union all select 'Too low utilization rate found.', company from (
+               select company, arg_max(utilization_rate, date) rate from report_daily group by company) where rate < 10)""",
+    ),
+}
+
 # What was written must come back whole.
 for _sink, _source in {
+    "published_overall": "report_overall",
+    "published_monthly": "report_monthly",
+    "published_weekly": "report_weekly",
     "csv_round_trip": "run_days",
     "history_update": "merge_history",
     "weekly_files": "weekly_project_report",

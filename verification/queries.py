@@ -20,7 +20,7 @@ from fleetmeter.operators import (
 )
 from fleetmeter.operators.gpu_count import with_gpu_count
 from fleetmeter.operators.usage import usage_facts, with_company
-from fleetmeter.plans.daily import publish
+from fleetmeter.plans.daily import alerts_of, overall_tables, publish, update_registry
 from fleetmeter.plans.reports import UsageReports
 from fleetmeter.plans.weekly import write_weekly_files
 from fleetmeter.session import shared_folder
@@ -120,9 +120,26 @@ def metrics_long(spark, sf_dir):
     return metrics.unpivot_metrics(v.wide_metrics(spark, sf_dir)).where(F.col("value").isNotNull())
 
 
+def metrics_long_all(spark, sf_dir):
+    return metrics.unpivot_metrics(v.wide_metrics(spark, sf_dir))
+
+
+def metrics_daily_span(spark, sf_dir):
+    return metrics.metrics_daily(v.wide_metrics(spark, sf_dir), v.START, v.TARGET, with_span=True)
+
+
+def metrics_daily_sparse(spark, sf_dir):
+    return metrics.metrics_daily(v.sparse_metrics(spark, sf_dir), v.START, v.TARGET)
+
+
+def metrics_of_runs(spark, sf_dir):
+    runs_ = _valid_runs(spark, sf_dir)
+    return metrics.metrics_of_runs(v.sparse_metrics(spark, sf_dir), runs_, v.START, v.TARGET)
+
+
 def run_days_with_metrics(spark, sf_dir):
     counted = with_gpu_count(_valid_runs(spark, sf_dir), v.gpu_rules(spark, sf_dir))
-    daily = metrics.metrics_daily(v.wide_metrics(spark, sf_dir), v.START, v.TARGET)
+    daily = metrics.metrics_of_runs(v.wide_metrics(spark, sf_dir), counted, v.START, v.TARGET)
     return runs.build_run_days(counted, daily, v.START, v.TARGET, "2024-02-07 00:15:00")
 
 
@@ -284,6 +301,79 @@ def history_update(spark, sf_dir):
     )
 
 
+def history_update_late(spark, sf_dir):
+    """Late rows of two days, merged into a history that holds all days between."""
+    place = _place(spark, "history")
+    path, shared = f"{place}/table", f"{place}/checkpoints"
+    history.update_history(spark, path, v.run_days(spark, sf_dir), v.START, v.TARGET, shared)
+    return history.update_history(
+        spark, path, v.late_history(spark, sf_dir), v.START, v.TARGET, shared
+    )
+
+
+def csv_round_trip_text(spark, sf_dir):
+    path = tables.write_history_csv(v.awkward_run_days(spark, sf_dir), _place(spark, "csv"), v.TARGET)
+    return tables.read_history_csv(spark, path)
+
+
+def latest_history_version(spark, sf_dir):
+    """Two versions of one end date and one of an earlier end, written last: the last written counts."""
+    root = _place(spark, "versions")
+    for days, end in (
+        (v.new_history(spark, sf_dir), v.TARGET),
+        (v.run_days(spark, sf_dir), v.TARGET),
+        (v.old_history(spark, sf_dir), "2024-01-20"),
+    ):
+        tables.write_history_csv(days, root, end)
+    return tables.latest_history_csv(spark, root)
+
+
+def registry_update(spark, sf_dir):
+    """The registry after publications of two days, the second one twice."""
+    path = _place(spark, "registry")
+    tables.write_registry(v.registry(spark, sf_dir), path)
+    for end in ("2024-02-05", v.TARGET, v.TARGET):
+        entered = update_registry(spark, path, v.companies(spark, sf_dir), end, v.LATEST)
+    return entered.withColumn("tags", F.array_join("tags", ","))
+
+
+def latest_published(spark, sf_dir):
+    """The published rows of the latest of two runs, found through the registry."""
+    place, daily = _place(spark, "published"), _reports(spark, sf_dir).daily()
+    for end in ("2024-02-05", v.TARGET):
+        publish({"daily": daily}, place, f"Tables_{end}", by_company=True)
+        entered = update_registry(spark, f"{place}/registry", v.companies(spark, sf_dir), end, v.LATEST)
+    published = tables.read_published(spark, place, "daily", daily.schema, by_company=True)
+    return registry.latest_tables(entered, published, v.LATEST)
+
+
+def _published(spark, sf_dir, name):
+    place, tables_of = _place(spark, "published"), overall_tables(_reports(spark, sf_dir))
+    publish({name: tables_of[name]}, place, "Tables", by_company=False)
+    return tables.read_published(spark, place, name, tables_of[name].schema, by_company=False).drop("run", "published_by")
+
+
+def published_overall(spark, sf_dir):
+    return _published(spark, sf_dir, "overall_gpu_usage")
+
+
+def published_monthly(spark, sf_dir):
+    return _published(spark, sf_dir, "monthly_gpu_usage")
+
+
+def published_weekly(spark, sf_dir):
+    return _published(spark, sf_dir, "weekly_gpu_usage")
+
+
+def alerts_table(spark, sf_dir):
+    """Alerts of a job that ran twice for its day, read back."""
+    root = _place(spark, "alerts")
+    found = alerts_of(_reports(spark, sf_dir), v.companies(spark, sf_dir))
+    for _ in range(2):
+        tables.record_alerts(found, "daily_update", v.TARGET, root)
+    return spark.read.parquet(root).select("title", "text", "source", F.col("raised_for").cast("string"))
+
+
 def weekly_files(spark, sf_dir):
     path = write_weekly_files(
         v.run_days(spark, sf_dir), v.SUMMARY_END, v.IGNORE_TAGS, _place(spark, "weekly")
@@ -320,6 +410,10 @@ QUERIES: dict[str, Query] = {
     "metrics_long": metrics_long,
     "metrics_daily": metrics_daily,
     "metrics_daily_long": metrics_daily_long,
+    "metrics_long_all": metrics_long_all,
+    "metrics_daily_span": metrics_daily_span,
+    "metrics_daily_sparse": metrics_daily_sparse,
+    "metrics_of_runs": metrics_of_runs,
     "run_days_with_metrics": run_days_with_metrics,
     "merge_history": merge_history,
     "with_company": with_company_query,
@@ -353,4 +447,13 @@ QUERIES: dict[str, Query] = {
     "history_update": history_update,
     "weekly_files": weekly_files,
     "published_daily": published_daily,
+    "history_update_late": history_update_late,
+    "csv_round_trip_text": csv_round_trip_text,
+    "latest_history_version": latest_history_version,
+    "registry_update": registry_update,
+    "latest_published": latest_published,
+    "published_overall": published_overall,
+    "published_monthly": published_monthly,
+    "published_weekly": published_weekly,
+    "alerts_table": alerts_table,
 }

@@ -130,6 +130,29 @@ def wide_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Samples of a run by event_id % 6: seconds after its start, and whether there is a reading.
+SPARSE = [
+    (0, 0, 1), (0, -5184000, 1), (1, 0, 1), (2, 0, 0), (2, 3600, 0), (2, 5184000, 1),
+    (3, 0, 0), (3, 3600, 0), (3, 5184000, 0), (4, 0, 1), (4, 3600, 1), (5, -5184000, 1), (5, 5184000, 1),
+]
+
+
+def sparse_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs with a single sample or no reading in the range, with and without others 60 days away."""
+    return table(spark, sf_dir, "events").selectExpr(
+        f"concat_ws('/', {TEAM}, event_type, concat('r', event_id)) as run_path",
+        "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) / 1000000.0D as _start",
+        "event_id",
+        f"""explode(filter(array({", ".join(f"named_struct('m', {m}, 'off', {o}L, 'has', {h})" for m, o, h in SPARSE)}),
+              x -> x.m = event_id % 6)) as at""",
+    ).selectExpr(
+        "run_path",
+        "_start + at.off as _timestamp",
+        f"case when at.has = 1 then cast((event_id * 31 + at.off) % 101 + 101 as double) end as `{METRIC_NAMES['g0']}`",
+        f"case when at.has = 1 then cast((event_id * 41 + at.off) % 101 + 101 as double) end as `{METRIC_NAMES['m0']}`",
+    )
+
+
 def plain_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs with their daily metrics given, null for every eleventh run."""
 
@@ -161,6 +184,24 @@ def run_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def awkward_run_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run days whose text holds line breaks, quotes, backslashes, edge spaces, or nothing."""
+    host = """case event_id_of % 9 when 0 then 'a\\nb' when 1 then 'c\\r\\n,"d"' when 2 then ''
+      when 3 then ' e ' when 4 then 'f\\\\ng' when 5 then '\\\\' when 6 then '"' when 7 then null else '\\\\e' end"""
+    days = run_days(spark, sf_dir).withColumn("event_id_of", F.substring("run_id", 2, 20).cast("bigint"))
+    return days.withColumn("host_name", F.expr(host)).withColumn(
+        "tags", F.when(F.col("event_id_of") % 5 == 0, F.lit("")).otherwise(F.col("tags"))
+    ).select(RUN_DAY_COLUMNS)
+
+
+def late_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two far-apart days that come late: an update, an older record and a new run."""
+    days = run_days(spark, sf_dir).where(F.col("date").isin("2024-01-04", "2024-01-18"))
+    logged = F.when(F.col("gpu_count") % 3 == 0, "2024-01-01 00:00:00").otherwise("2024-02-03 00:00:00")
+    late = days.withColumn("logged_at", logged.cast("timestamp_ntz")).withColumn("gpu_count", F.col("gpu_count") + 100)
+    return late.unionByName(late.where("gpu_count = 101").withColumn("run_id", F.concat("run_id", F.lit("-late"))))
+
+
 def old_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What was known on 1 February of the days before the 21st."""
     return run_days(spark, sf_dir).where(F.col("date") < F.lit("2024-01-21").cast("date"))
