@@ -89,7 +89,8 @@ def local_day(
         day = F.to_date(epoch_to_local(seconds, tz))
         return F.when(day.between(F.lit(start), F.lit(end)), day)
     first, stop = (round(m.timestamp()) * 1_000_000 for m in (midnights[0], midnights[-1]))
-    micros = F.rint(seconds * 1_000_000).cast("bigint")
+    # A time that is no number is on no day.
+    micros = F.rint(seconds * 1_000_000).try_cast("bigint")
     nth = whole_div(micros - first, DAY).cast("int")
     return F.when((micros >= first) & (micros < stop), F.date_add(F.lit(start), nth))
 

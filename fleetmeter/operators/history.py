@@ -37,27 +37,35 @@ def merge_history(new: DataFrame, old: DataFrame | None) -> DataFrame:
     return both.groupBy(*KEY).agg(newest).select(*KEY, "_newest.*").select(RUN_DAY_COLUMNS)
 
 
-def merge_unique(new: DataFrame, old: DataFrame) -> DataFrame:
+#: New rows up to which they are broadcast: about ten megabytes.
+FEW_ROWS = 20_000
+
+
+def merge_unique(new: DataFrame, old: DataFrame, few: bool = False) -> DataFrame:
     """``merge_history`` for an ``old`` history that has one record per run and day, as stored.
 
-    Only the new rows are folded. Then each side loses its rows that the other one beats,
-    by joins on the key: while the new rows are few they are broadcast, and the old
-    ones stay where they were read, neither shuffled nor sorted.
+    Only the new rows are folded. Then each side loses the rows that the other one
+    beats, by joins on the key. With ``few``, which the caller has to have
+    counted (``FEW_ROWS``), the new ones are broadcast, and the old ones stay where they were
+    read, neither shuffled nor sorted.
     """
     new, old = set_schema(new), set_schema(old)
     rest = [c for c in RUN_DAY_COLUMNS if c not in KEY and c != "logged_at"]
     newest = F.max(F.struct("logged_at", *rest)).alias("_newest")
     folded = new.groupBy(*KEY).agg(newest).select(*KEY, "_newest.*").select(RUN_DAY_COLUMNS)
 
-    def beaten(rows: DataFrame, other: DataFrame, wins) -> DataFrame:
-        """Rows without one of ``other`` under the same key that wins."""
+    def met(rows: DataFrame, other: DataFrame, how: str, wins: Column) -> DataFrame:
+        """Rows with or without one of ``other`` that has the same key and wins."""
         named = other.select([F.col(c).alias(f"_{c}") for c in (*KEY, "logged_at")])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY]
-        return rows.join(named, [*same, wins(F.col("_logged_at"), F.col("logged_at"))], "left_anti")
+        return rows.join(F.broadcast(named) if few else named, [*same, wins], how)
 
     # A time goes before none, and new before old on a tie.
-    kept = beaten(old, folded, lambda a, b: b.isNull() | F.coalesce(a >= b, F.lit(False)))
-    added = beaten(folded, old, lambda a, b: a.isNotNull() & F.coalesce(a > b, F.lit(True)))
+    other, own = F.col("_logged_at"), F.col("logged_at")
+    kept = met(old, folded, "left_anti", own.isNull() | F.coalesce(other >= own, F.lit(False)))
+    # Of the old rows, those with a key of the new ones: no more than there are new ones.
+    rivals = met(old.select(*KEY, "logged_at"), folded, "left_semi", F.lit(True))
+    added = met(folded, rivals, "left_anti", other.isNotNull() & F.coalesce(other > own, F.lit(True)))
     return kept.unionByName(added)
 
 
@@ -89,7 +97,8 @@ def update_history(
     new = new.where(F.when(in_range, F.lit(True)).otherwise(outside.cast("boolean")))
     if table_exists(spark, path):
         new = cut_lineage(set_schema(new), shared)
-        merged = merge_unique(new, touched_days(read_history(spark, path), new, between))
+        few = new.limit(FEW_ROWS + 1).count() <= FEW_ROWS
+        merged = merge_unique(new, touched_days(read_history(spark, path), new, between), few)
     else:
         merged = merge_unique(new, spark.createDataFrame([], RUN_DAYS))
     write_history_days(cut_lineage(merged, shared), path)
