@@ -54,3 +54,12 @@ def monthly_calendar(daily: DataFrame, target: str | dt.date) -> DataFrame:
 
 def overall_calendar(daily: DataFrame) -> DataFrame:
     return daily.groupBy("company").agg(F.sum("assigned_gpu_node").alias("assigned_gpu_node"))
+
+
+def order_calendar(calendar: DataFrame) -> DataFrame:
+    """Listing order: oldest period first, then company."""
+    return calendar.orderBy(*calendar_order(calendar))
+
+
+def calendar_order(calendar: DataFrame) -> list[str]:
+    return [c for c in ("date", "week_start", "year_month", "company") if c in calendar.columns]

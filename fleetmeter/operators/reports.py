@@ -212,8 +212,12 @@ def report_overall(
 
 def order_report(report: DataFrame) -> DataFrame:
     """Listing order: company, newest period first."""
+    return report.orderBy(*report_order(report))
+
+
+def report_order(report: DataFrame) -> list[Column]:
     periods = [c for c in ("date", "week_start", "year_month") if c in report.columns]
-    return report.orderBy("company", *[F.desc(p) for p in periods])
+    return [F.asc("company"), *[F.desc(p) for p in periods]]
 
 
 def with_labels(report: DataFrame, language: str = "ja") -> DataFrame:

@@ -141,3 +141,8 @@ def overlapping_runs(run_days: DataFrame, ignore_tags: Sequence[str] = ()) -> Da
     return flagged.where(_overlaps()).select(
         *PROJECT, "host_name", "run_id", "created_at", "updated_at", "prev_updated_at"
     )
+
+
+def order_projects(summary: DataFrame) -> DataFrame:
+    """Listing order of project summaries: team, project."""
+    return summary.orderBy(*PROJECT)

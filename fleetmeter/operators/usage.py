@@ -30,9 +30,14 @@ def usage_facts(run_days: DataFrame, teams: DataFrame) -> DataFrame:
     them, as for GPU hours, that part drops out of the plan.
     """
     rows = with_company(run_days, teams).where(F.col("company").isNotNull())
+    return day_sums(rows).join(first_days(rows), ["company", "date"], "left")
+
+
+def day_sums(rows: DataFrame) -> DataFrame:
+    """Minutes and metrics per company and day."""
     minutes = whole_minutes(F.col("duration_hour"))
     utilization, memory = F.col("average_gpu_utilization"), F.col("average_gpu_memory")
-    sums = rows.groupBy("company", "date").agg(
+    return rows.groupBy("company", "date").agg(
         F.sum(minutes * F.col("gpu_count")).alias("gpu_minutes"),
         F.sum(F.when(utilization.isNotNull(), minutes)).alias("metric_minutes"),
         F.sum(utilization * minutes).alias("utilization_minutes"),
@@ -40,7 +45,6 @@ def usage_facts(run_days: DataFrame, teams: DataFrame) -> DataFrame:
         F.max(nan_to_null(F.col("max_gpu_utilization"))).alias("max_gpu_utilization"),
         F.max(nan_to_null(F.col("max_gpu_memory"))).alias("max_gpu_memory"),
     )
-    return sums.join(first_days(rows), ["company", "date"], "left")
 
 
 def first_days(rows: DataFrame) -> DataFrame:

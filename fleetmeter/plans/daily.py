@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.dates import REPORT_TZ, as_date
+from fleetmeter.operators.facts import read_usage_facts, update_usage_facts
 from fleetmeter.operators.gpu_count import with_gpu_count
 from fleetmeter.operators.history import update_history
 from fleetmeter.operators.metrics import metrics_of_runs
@@ -43,13 +44,15 @@ NO_REPORT_TEXT = "No data available for overall, monthly, and weekly tables"
 
 @dataclass(frozen=True)
 class Places:
-    """Where the job keeps its tables. ``shared`` replaces an unset checkpoint folder."""
+    """Where the job keeps its tables. ``shared`` replaces an unset checkpoint folder. With
+    ``facts`` the usage facts are kept there and updated by the days of the range only."""
 
     history: str
     published: str
     registry: str
     alerts: str
     shared: str | None = None
+    facts: str | None = None
 
 
 def collect_run_days(
@@ -184,6 +187,11 @@ def daily_update(
     history = update_history(spark, places.history, new, start, end, places.shared)
 
     reports = UsageReports.of(history, companies, end)
+    if places.facts:
+        in_range = F.col("date").between(F.lit(as_date(start)), F.lit(as_date(end)))
+        days = history.where(in_range).select("date").distinct()
+        update_usage_facts(history, team_table(companies), days, places.facts)
+        reports = replace(reports, facts=read_usage_facts(spark, places.facts))
     # Eight tables and the alerts start from here: the history is read once for all.
     reports = replace(reports, facts=cut_lineage(reports.facts, places.shared))
 

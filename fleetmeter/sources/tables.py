@@ -155,6 +155,15 @@ def spread_writers(df: DataFrame, column: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), column)
 
 
+def write_ordered(df: DataFrame, path: str, *order: str | Column) -> None:
+    """Parquet whose files, taken by name, hold the rows in ``order``.
+
+    Each file is a range of the order, sorted by its own task: no task sees all rows.
+    """
+    ranged = df.repartitionByRange(*order) if order else df
+    ranged.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
 def write_history_csv(df: DataFrame, root: str, end: str | dt.date) -> str:
     """A full CSV copy of the history as a new version under ``root``; an end date may have several."""
     label = f"version={end}"

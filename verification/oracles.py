@@ -597,6 +597,8 @@ FINALS |= {
 
 # What was written must come back whole.
 for _sink, _source in {
+    "usage_facts_kept": "usage_facts",
+    "landed_samples": "metrics_long",
     "published_overall": "report_overall",
     "published_monthly": "report_monthly",
     "published_weekly": "report_weekly",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetmeter.operators import (
     calendar,
+    facts,
     history,
     metrics,
     quality,
@@ -24,7 +25,7 @@ from fleetmeter.plans.daily import alerts_of, overall_tables, publish, update_re
 from fleetmeter.plans.reports import UsageReports
 from fleetmeter.plans.weekly import write_weekly_files
 from fleetmeter.session import shared_folder
-from fleetmeter.sources import config, tables
+from fleetmeter.sources import config, samples, tables
 from verification import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +375,27 @@ def alerts_table(spark, sf_dir):
     return spark.read.parquet(root).select("title", "text", "source", F.col("raised_for").cast("string"))
 
 
+def usage_facts_kept(spark, sf_dir):
+    """Facts kept as a table: built from the first days, then updated twice by the later ones."""
+    root, days = _place(spark, "facts"), v.run_days(spark, sf_dir)
+    teams = team_dim(spark, sf_dir)
+    known = days.where("date < '2024-01-21'")
+    facts.update_usage_facts(known, teams, known.select("date"), root)
+    for first in ("2024-01-21", "2024-01-20"):
+        facts.update_usage_facts(days, teams, days.where(F.col("date") >= first).select("date"), root)
+    return facts.read_usage_facts(spark, root)
+
+
+def landed_samples(spark, sf_dir):
+    """Samples that landed in two layouts, one of both devices and one of the first only."""
+    place, wide = _place(spark, "landed"), v.wide_metrics(spark, sf_dir)
+    names = list(v.METRIC_NAMES.values())
+    second = F.col(f"`{names[2]}`").isNotNull()
+    samples.land_samples(wide.where(second), place, "a")
+    samples.land_samples(wide.where(~second).drop(*names[2:]), place, "b")
+    return samples.read_landed_samples(spark, place).where(F.col("value").isNotNull())
+
+
 def weekly_files(spark, sf_dir):
     path = write_weekly_files(
         v.run_days(spark, sf_dir), v.SUMMARY_END, v.IGNORE_TAGS, _place(spark, "weekly")
@@ -456,4 +478,6 @@ QUERIES: dict[str, Query] = {
     "published_monthly": published_monthly,
     "published_weekly": published_weekly,
     "alerts_table": alerts_table,
+    "usage_facts_kept": usage_facts_kept,
+    "landed_samples": landed_samples,
 }
