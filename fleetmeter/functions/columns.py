@@ -185,7 +185,8 @@ def glob_to_regex(pattern: Column) -> Column:
     """A shell glob (``*``, ``?``, ``[seq]``, ``[!seq]``) as an anchored regular expression.
 
     The pattern is cut into tokens, a bracket set being one token; each becomes
-    its regular-expression form. An unclosed ``[`` stands for itself.
+    its regular-expression form. An unclosed ``[`` stands for itself, and a set
+    without any character, such as ``[z-a]``, matches none.
     """
     tokens = F.regexp_extract_all(pattern, F.lit(r"(?s)\[!?\]?[^\]]*\]|."), F.lit(0))
 
@@ -194,8 +195,16 @@ def glob_to_regex(pattern: Column) -> Column:
         body = F.when(negated, F.substring(token, F.lit(3), F.length(token) - 3)).otherwise(
             F.substring(token, F.lit(2), F.length(token) - 2)
         )
-        safe = F.regexp_replace(body, r"([\\\[\]^&~])", r"\\$1")
-        return F.concat(F.when(negated, F.lit("[^")).otherwise(F.lit("[")), safe, F.lit("]"))
+        # Ranges and single characters; a range from high to low has no character.
+        members = F.regexp_extract_all(body, F.lit(r"(?s).-.|."), F.lit(0))
+        some = F.filter(
+            members,
+            lambda m: (F.length(m) == 1) | (F.ascii(m) <= F.ascii(F.substring(m, F.lit(3), F.lit(1)))),
+        )
+        safe = F.regexp_replace(F.array_join(some, ""), r"([\\\[\]^&~])", r"\\$1")
+        shown = F.concat(F.when(negated, F.lit("[^")).otherwise(F.lit("[")), safe, F.lit("]"))
+        nothing = F.when(negated, F.lit(".")).otherwise(F.lit("(?!)"))
+        return F.when(safe == "", nothing).otherwise(shown)
 
     def piece(token: Column) -> Column:
         return (
