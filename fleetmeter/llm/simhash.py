@@ -30,7 +30,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType
 
 from fleetmeter.llm import text as t
 from fleetmeter.llm.stages import staged
@@ -334,13 +333,18 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def near_components(fingerprints: DataFrame, tau: int = 4) -> DataFrame:
-    """fp, component_id: the smallest doc_id among all fingerprints that can be reached."""
+def _labelled(fingerprints: DataFrame, tau: int) -> DataFrame:
+    """fp, least (its smallest doc_id) and root, the same for all fingerprints that can be reached."""
     nodes = staged(fingerprints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(near_links(nodes, tau))
-    labelled = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
+
+
+def near_components(fingerprints: DataFrame, tau: int = 4) -> DataFrame:
+    """fp, component_id: the smallest doc_id among all fingerprints that can be reached."""
+    labelled = _labelled(fingerprints, tau)
     smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     return labelled.join(smallest, "root").select("fp", "component_id")
 
@@ -352,155 +356,20 @@ def near_duplicates(docs: DataFrame, width: int = 4, tau: int = 4) -> DataFrame:
     return fingerprints.join(found, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-#: Shingle sets are similar from this Jaccard similarity on, 4 / 5.
-SIMILAR = (4, 5)
-#: Sets of similarity J meet in one of the bands with probability 1 - (1 - J ** BAND_ROWS) ** BANDS:
-#: at 0.8 all but 1.3e-7 of the pairs do, and fewer stay apart above.
-BANDS, BAND_ROWS = 40, 5
-_rng = np.random.default_rng(42)
-MASKS, FACTORS = _rng.integers(0, 1 << 64, (2, BANDS * BAND_ROWS), dtype=np.uint64)
-FACTORS |= np.uint64(1)
-#: Candidates are tested against one member of their bucket while at least so large a share is similar.
-WORTHWHILE = 1 / 8
-
-
-def _distinct(piece: t.Slice, width: int) -> list[np.ndarray]:
-    return [np.unique(np.array(h, dtype=np.uint64)) for h in _shingles(piece, width)]
-
-
-def _set_ids(sets: list[np.ndarray]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], dtype=np.uint64).view(np.int64)
-
-
-def _buckets(sets: list[np.ndarray]) -> pa.ListArray:
-    """The bucket of each band of each set: a hash of the band's smallest hashes. Empty sets have none."""
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    full = np.flatnonzero(sizes)
-    keys = np.zeros((len(full), BANDS), dtype=np.uint64)
-    if len(full):
-        flat = np.concatenate(sets)
-        begin = (np.cumsum(sizes) - sizes)[full]
-        for i in range(BANDS * BAND_ROWS):
-            least = np.minimum.reduceat((flat ^ MASKS[i]) * FACTORS[i], begin)
-            band = i // BAND_ROWS
-            keys[:, band] = t.mix(keys[:, band] * FACTORS[0] + least + np.uint64(band))
-    ends = np.cumsum(np.where(sizes > 0, BANDS, 0))
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
-
-
-def _signatures(width: int):
-    """node (hash of the text's set of shingles), size of the set, and buckets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in t.slices(batch.column("text")):
-                sets = _distinct(piece, width)
-                rest = batch.slice(piece.lo, piece.hi - piece.lo).drop_columns(["text"])
-                more = [pa.array(_set_ids(sets)), pa.array([len(s) for s in sets], pa.int64()), _buckets(sets)]
-                yield pa.RecordBatch.from_arrays([*rest.columns, *more], names=[*rest.schema.names, "node", "size", "buckets"])
-
-    return run
-
-
-def _sets(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in t.slices(batch.column("text")):
-                sets = _distinct(piece, width)
-                ends = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
-                hashes = pa.array(np.concatenate(sets).view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(_set_ids(sets)), pa.ListArray.from_arrays(pa.array(ends), hashes)], ["node", "shingles"])
-
-    return run
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs a, b whose sets have the similarity."""
-    least, whole = SIMILAR
-    of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"_{c}"))
-    common = F.size(F.array_intersect("_a", "_b"))
-    # Common / (size a + size b - common) >= least / whole, in whole numbers.
-    enough = common * (least + whole) >= least * (F.size("_a") + F.size("_b"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").where(enough).select("a", "b")
-
-
-def similar_links(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links a, b of similar nodes that connect whatever pairs of similar nodes in a bucket connect.
-
-    ``entries`` has bucket, node and size. Members of a bucket are first tested against one of them,
-    by turns another, which leaves little where a bucket holds copies of one text; at last all
-    pairs of a bucket that are not yet connected are.
-    """
-    least, whole = SIMILAR
-    fits = lambda x, y: F.least(x, y) * whole >= F.greatest(x, y) * least
-    labelled, links, turn = entries.withColumn("root", F.col("node")), None, 0
-    while True:
-        hub = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "size", "root")
-        hubs = labelled.groupBy("bucket").agg(F.min(hub).alias("hub"), F.min("root").alias("low"), F.max("root").alias("high"))
-        hubs = staged(hubs.where("low != high").select("bucket", "hub"))
-        facing = labelled.join(hubs, "bucket").where((F.col("root") != F.col("hub.root")) & fits(F.col("size"), F.col("hub.size")))
-        if turn == 0:
-            # Hubs by a common order: one for each node finds most of what is similar.
-            pairs = facing.groupBy("node").agg(F.min("hub").alias("hub"))
-        else:
-            pairs = facing.select("node", "hub")
-        pairs = staged(pairs.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct())
-        found = staged(_similar(pairs, sets))
-        tested, similar = pairs.count(), found.count()
-        links = found if links is None else staged(links.unionByName(found))
-        if similar:
-            roots = components(links)
-            labelled = staged(
-                entries.join(roots, "node", "left").select("bucket", "node", "size", F.coalesce("root", "node").alias("root"))
-            )
-        if similar < WORTHWHILE * tested or not tested:
-            break
-        turn += 1
-    sides = labelled.join(hubs.select("bucket"), "bucket", "left_semi")
-    open_ = sides.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    sides = sides.join(open_.select("bucket"), "bucket", "left_semi")
-    side = lambda c: sides.select("bucket", F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("root").alias(f"{c}_root"))
-    apart = side("a").join(side("b"), "bucket").where((F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")))
-    pairs = staged(apart.where(fits(F.col("a_size"), F.col("b_size"))).select("a", "b").distinct())
-    return links.unionByName(_similar(pairs, sets))
-
-
-def similar_components(docs: DataFrame, width: int = 5) -> DataFrame:
-    """doc_id, _text (hash of the text) and component_id, the smallest doc_id that is reached over
-    pairs of texts whose sets of ``width``-word shingles have the similarity ``SIMILAR``."""
-    source = docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
-    schema = source.drop("text").schema.add("node", "long").add("size", "long").add("buckets", ArrayType(LongType()))
-    marked = staged(source.mapInArrow(_signatures(width), schema))
-    nodes = staged(
-        marked.groupBy("node").agg(
-            F.min("doc_id").alias("least"), F.min("_text").alias("_text"), F.min("size").alias("size"), F.min("buckets").alias("buckets")
-        )
-    )
-    entries = nodes.select("node", "size", F.explode("buckets").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    entries = staged(entries.join(shared, "bucket", "left_semi"))
-    texts = nodes.join(entries.select("node").distinct(), "node", "left_semi").select("_text")
-    chosen = source.select("text", "_text").join(texts, "_text", "left_semi").dropDuplicates(["_text"]).select("text")
-    sets = staged(chosen.mapInArrow(_sets(width), "node bigint, shingles array<bigint>"))
-    roots = components(similar_links(entries, sets))
-    labelled = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    smallest = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = labelled.join(smallest, "root").select("node", "component_id")
-    return marked.select("doc_id", "_text", "node").join(found, "node").select("doc_id", "_text", "component_id")
-
-
-def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
-    """One document of each component of similar texts, that of the smallest doc_id, with all columns.
+def keep_one(docs: DataFrame, width: int = 4, tau: int = 4) -> DataFrame:
+    """One document of each component, that of the smallest doc_id, with all columns.
 
-    Rows that repeat this doc_id stay with it. Of a component without any doc_id all rows stay.
-    Candidates come from MinHash bands, not from fingerprints: at similarity 0.8 those differ in
-    about 10 of 64 bits, more than parts of 64 bits can be probed for.
+    A doc_id goes before null; of texts with the same doc_id in a component, one by hash of the text stays.
+    Rows that repeat the doc_id and the text that stay are one document, and all stay.
     """
-    gone = (
-        similar_components(docs, width)
-        .where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_gone"), F.col("_text").alias("_gone_text"))
-        .distinct()
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    fingerprints = staged(with_fingerprint(named, width, ("doc_id", "hash")))
+    root = _labelled(fingerprints, tau).select("fp", "root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first")
+    stays = fingerprints.join(root, "fp").groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("stays_id"), F.col("first.hash").alias("stays_hash")
     )
-    same = docs["doc_id"].eqNullSafe(F.col("_gone")) & (F.xxhash64(docs["text"]) == F.col("_gone_text"))
-    return docs.join(gone, same, "left_anti")
+    # The row as one struct: its names cannot clash with those of the operator.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("stays_id")) & (F.xxhash64("row.text") == F.col("stays_hash"))
+    return rows.join(stays, same, "left_semi").select("row.*")

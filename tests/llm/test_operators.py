@@ -12,7 +12,6 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from fleetmeter.llm import (
     decontaminate,
     exact_dedup,
@@ -169,6 +168,82 @@ def test_context_tree_is_a_distribution():
     assert (tree.score(stream, np.r_[[False] * 2, [True] * 48])[2:] < 0).all()
 
 
+def coded(text: str | None) -> bytes:
+    return b"".join(w.encode() + b" " for w in words((text or "").translate(LOW))) + b"\n"
+
+
+def test_score_is_that_of_context_tree_weighting(spark):
+    """Weighted and mixed probabilities of all contexts, by their definition."""
+    texts = ["the cat sat", "The cat ate the rat", "a rat", None, "", "cat cat cat the", "é ü the"]
+    other = ["the rat sat", "zzz", "a dog é", ""]
+    depth, seen = 5, {}
+    for t in texts:
+        padded = b"\n" * depth + coded(t)
+        for i in range(depth, len(padded)):
+            for d in range(depth + 1):
+                seen.setdefault(padded[i - d : i], Counter())[padded[i]] += 1
+
+    def outcomes(context: bytes, node: int) -> list[int]:
+        """How often decision ``node`` (heap order, from 1) of a byte went either way."""
+        n = [0, 0]
+        for byte, times in seen.get(context, {}).items():
+            path = 256 | byte
+            for shift in range(8, 0, -1):
+                if path >> shift == node:
+                    n[path >> (shift - 1) & 1] += times
+        return n
+
+    extended: dict[bytes, list[bytes]] = {}
+    for c in seen:
+        if c:
+            extended.setdefault(c[1:], []).append(c)
+    memo: dict[tuple, float] = {}
+
+    def log_kt(n: list[int]) -> float:
+        return math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.log(math.pi) - math.lgamma(sum(n) + 1)
+
+    def weighted(context: bytes, node: int) -> float:
+        key = (context, node)
+        if key not in memo:
+            own = log_kt(outcomes(context, node))
+            if len(context) < depth:
+                below = sum(weighted(c, node) for c in extended[context])
+                own = math.log(0.5) + float(np.logaddexp(own, below))
+            memo[key] = own
+        return memo[key]
+
+    def chance(history: bytes, node: int) -> float:
+        mixed, left = 0.0, 1.0
+        for d in range(depth + 1):
+            context = history[len(history) - d :]
+            n = outcomes(context, node)
+            stop = math.exp(math.log(0.5) + log_kt(n) - weighted(context, node)) if context in seen and d < depth else 1.0
+            mixed += left * stop * (n[1] + 0.5) / (sum(n) + 1)
+            left *= 1 - stop
+            if context not in seen:
+                break
+        return mixed
+
+    def score(t: str | None) -> float:
+        padded, total = b"\n" * depth + coded(t), 0.0
+        for i in range(depth, len(padded)):
+            path = 256 | padded[i]
+            for shift in range(8, 0, -1):
+                one = chance(padded[i - depth : i], path >> shift)
+                total += math.log10(one if path >> (shift - 1) & 1 else 1 - one)
+        return total
+
+    table = lambda x: spark.createDataFrame(list(enumerate(x)), "doc_id int, text string")
+    for scored in (texts, other):
+        got = {r.doc_id: r.score for r in lm_score.score_texts(table(scored), table(texts)).collect()}
+        assert got == pytest.approx({i: score(t) for i, t in enumerate(scored)}, rel=2e-4)
+
+
+def test_contexts_grow_with_the_corpus():
+    kept = [total / lm_score.least_count(total) for total in (10**6, 10**8, 10**9, 10**10, 10**13)]
+    assert kept == sorted(kept) and kept[-1] > 10 * kept[1]
+
+
 def test_mixing_deviates_less_than_a_block(docs):
     rows = mixing.interleave(docs, period=100, block_chars=50).collect()
     assert len(rows) == len(ROWS)
@@ -222,14 +297,6 @@ def test_same_as_sql(spark, sf_dir, name):
     assert canonical(df.columns, [tuple(r) for r in df.collect()]) == canonical(columns, result.fetchall())
 
 
-def test_pipeline(spark, sf_dir):
-    out = corpus_pipeline.run(spark, sf_dir)
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    assert out.columns == [*rows.columns, "block", "slot", "in_mix"]
-    assert 0.5 * rows.count() < out.count() <= rows.count()
-    assert out.select("doc_id").distinct().count() == out.count()
-
-
 def test_toxicity_tables_count_every_bigram(spark, docs):
     sample = docs.select("text", (F.col("doc_id") % 2).cast("int").alias("label")).where("text is not null and label is not null")
     counted = toxicity.count_bigrams(sample)
@@ -252,41 +319,6 @@ def test_toxicity_tables_count_every_bigram(spark, docs):
     assert all(r.ordinary + r.toxic >= toxicity.LEAST_BIGRAM for r in toxicity.kept_bigrams(counted, words).collect())
 
 
-def test_keep_one_finds_all_similar_texts(spark):
-    rng = np.random.default_rng(7)
-    texts = [None, "", "  ", "one two", "ONE  two", "a b c d e f g h", "a b c d e f g h i"]
-    for size in (40, 90, 300):
-        for i in range(8):
-            base = [f"w{x}" for x in rng.integers(0, 5000, size)]
-            texts.append(" ".join(base))
-            for changes in range(0, 1 + size // 25):
-                copy = list(base)
-                for at in rng.integers(0, size, changes):
-                    copy[at] = f"n{changes}x{i}"
-                texts.append(" ".join(copy))
-            texts.append(" ".join([*base, *(f"t{x}" for x in range(size // 5))]))
-    # A chain: each is similar to the next, the ends are not.
-    chain = [f"c{x}" for x in range(200)]
-    texts += [" ".join(chain[k : k + 100]) for k in range(0, 50, 7)]
-    rows = [(int(i), x) for i, x in zip(rng.permutation(len(texts)), texts, strict=True)]
-    sets = []
-    for _, text in rows:
-        w = words((text or "").translate(LOW))
-        sets.append({tuple(w[p : p + 5]) for p in range(max(1, len(w) - 4))} if w else set())
-    near = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b)
-    root, banded = list(range(len(rows))), 0
-    for i in root[:]:
-        for j in range(i):
-            if near(sets[i], sets[j]):
-                banded += 5 * len(sets[i] & sets[j]) < 4.5 * len(sets[i] | sets[j])
-                old, new = root[i], root[j]
-                root = [new if x == old else x for x in root]
-    assert banded > 10
-    least = {r: min(rows[i][0] for i in range(len(rows)) if root[i] == r) for r in root}
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(least.values())
-
-
 @pytest.mark.parametrize("sources", [1, 7, 20, 21, 95])
 def test_mixing_with_more_sources_than_the_period(spark, sources):
     """Blocks lie where earliest deadline first over all sources puts them, and none is lost."""
