@@ -29,29 +29,31 @@ def with_previous_update(
     ``ties``, among the rows with equal ``keys``. Null keys are equal.
 
     A plain window would put all rows of a busy host into one task. Here the rows of
-    a key are first ordered within slices of their start time. Then only the first
-    and last rows of the slices are ordered across slices, which hands the last row
-    of a slice on to the next slice that has rows. So a task holds one slice, or at
-    most two rows per slice of a key.
+    a key are only ordered within slices of their start time. Each slice's last row,
+    of two columns, is then ordered across slices, and handed on to the next slice that has
+    rows by a join on the distribution the first window has made: the whole
+    rows are shuffled once. So a task holds one slice, or one row per slice of a key.
     """
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy("created_at", *ties)
+    key = F.struct(*keys, "_slice")
     sliced = rows.withColumn(
         "_slice", whole_div(minute_number(F.col("created_at")), slice_minutes)
-    ).withColumns(
+    ).withColumn("_key", key)
+    in_slice = Window.partitionBy("_key").orderBy("created_at", *ties)
+    placed = sliced.withColumns(
         {
             "_before": F.lag("updated_at").over(in_slice),
             "_first": F.row_number().over(in_slice) == 1,
-            "_last": F.lead("created_at").over(in_slice).isNull(),
         }
     )
-    # Rows inside a slice keep its number as their group and need no further order.
-    inner = ~F.col("_first") & ~F.col("_last")
-    sliced = sliced.withColumn("_inner", F.when(inner, F.col("_slice")))
-    across = Window.partitionBy(*keys, "_inner").orderBy("created_at", *ties)
-    return sliced.withColumn(
-        "prev_updated_at",
-        F.when(F.col("_first"), F.lag("updated_at").over(across)).otherwise(F.col("_before")),
-    ).drop("_slice", "_before", "_first", "_last", "_inner")
+    ends = sliced.groupBy("_key").agg(
+        F.max_by("updated_at", F.struct("created_at", *ties)).alias("_end")
+    )
+    across = Window.partitionBy(*[f"_key.{k}" for k in keys]).orderBy("_key._slice")
+    handed = ends.select(F.col("_key").alias("_of"), F.lag("_end").over(across).alias("_handed"))
+    joined = placed.join(handed, F.col("_key") == F.col("_of"))
+    return joined.withColumn(
+        "prev_updated_at", F.when(F.col("_first"), F.col("_handed")).otherwise(F.col("_before"))
+    ).drop("_slice", "_key", "_of", "_before", "_first", "_handed")
 
 
 def _overlaps() -> Column:

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmeter.functions.dates import REPORT_TZ, as_date
@@ -55,6 +55,18 @@ class Places:
     facts: str | None = None
 
 
+class Counters:
+    """Counts that the job's own writes make on their way, without a pass of their own."""
+
+    def __init__(self) -> None:
+        self.valid_runs = Observation("valid_runs")
+        self.untagged_runs = Observation("untagged_runs")
+
+    def values(self) -> dict[str, int]:
+        """After the job; waits for its writes."""
+        return {"valid_runs": self.valid_runs.get["n"], "untagged_runs": self.untagged_runs.get["n"]}
+
+
 def collect_run_days(
     nodes: DataFrame,
     samples: DataFrame | None,
@@ -66,12 +78,15 @@ def collect_run_days(
     ignore_tags: Sequence[str],
     tz: str = REPORT_TZ,
     validate: bool = True,
+    counters: Counters | None = None,
 ) -> DataFrame:
     """Run days of the report range from landed exports."""
     runs = with_gpu_count(
         valid_runs(nodes, windows, start, end, ignore_tags, tz, validate), rules
     )
     metrics = None if samples is None else metrics_of_runs(samples, runs, start, end, tz)
+    if counters:
+        runs = runs.observe(counters.valid_runs, F.count(F.lit(1)).alias("n"))
     return build_run_days(runs, metrics, start, end, logged_at)
 
 
@@ -145,6 +160,7 @@ def update_registry(
     companies: DataFrame,
     end: str | dt.date,
     latest: str,
+    counters: Counters | None = None,
 ) -> DataFrame:
     """Take the latest tag off earlier published runs and enter the runs of ``end``."""
     name = RUN_NAME.format(end=as_date(end))
@@ -157,6 +173,8 @@ def update_registry(
         F.array("company", F.lit(latest)).alias("tags"),
     )
     earlier = retag_latest(read_registry(spark, path), companies, latest)
+    if counters:
+        earlier = earlier.observe(counters.untagged_runs, F.count_if("untagged").alias("n"))
     # A second publication of the same day replaces the first one's entries.
     earlier = earlier.join(entries.select("run_id"), "run_id", "left_anti")
     # A new version: what it is made from stays as it is, and readable if the write fails.
@@ -179,10 +197,11 @@ def daily_update(
     latest: str = "latest",
     enable_alert: bool = True,
     tz: str = REPORT_TZ,
+    counters: Counters | None = None,
 ) -> UsageReports:
     """Everything the scheduled job does for one report range."""
     new = collect_run_days(
-        nodes, samples, windows, rules, start, end, logged_at, ignore_tags, tz
+        nodes, samples, windows, rules, start, end, logged_at, ignore_tags, tz, counters=counters
     )
     history = update_history(spark, places.history, new, start, end, places.shared)
 
@@ -199,6 +218,6 @@ def daily_update(
     summary = company_summary(history, team_table(companies), end, ignore_tags)
     publish(overall_tables(reports), places.published, name, by_company=False)
     publish(company_tables(reports, summary), places.published, name, by_company=True)
-    update_registry(spark, places.registry, companies, end, latest)
+    update_registry(spark, places.registry, companies, end, latest, counters)
     record_alerts(alerts_of(reports, companies, enable_alert), "daily_update", as_date(end), places.alerts)
     return reports

@@ -9,7 +9,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetmeter.functions.dates import REPORT_TZ, report_range, yesterday
-from fleetmeter.plans.daily import Places, daily_update
+from fleetmeter.plans.daily import Counters, Places, daily_update
 from fleetmeter.plans.health import record_health
 from fleetmeter.plans.reports import UsageReports
 from fleetmeter.sources import config, tables
@@ -43,6 +43,7 @@ def run_job(
     now: dt.datetime | None = None,
     csv_history: str | None = None,
     tz: str = REPORT_TZ,
+    counters: Counters | None = None,
 ) -> UsageReports:
     """Collect, merge, report, publish, check, and write a CSV version of the history.
 
@@ -58,7 +59,7 @@ def run_job(
     logged_at = now.astimezone(ZoneInfo(tz)).replace(tzinfo=None)
     reports = daily_update(
         spark, nodes, samples, companies, config.team_windows(companies), config.rules_table(spark, settings),
-        places, first, last, logged_at, settings.ignore_tags, settings.tag_for_latest, settings.enable_alert, tz,
+        places, first, last, logged_at, settings.ignore_tags, settings.tag_for_latest, settings.enable_alert, tz, counters,
     )
     if csv_history:
         tables.write_history_csv(tables.read_history(spark, places.history), csv_history, last)

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from test_plans import plan_of
 
 from fleetmeter import schemas
-from fleetmeter.operators import calendar, facts, reports, summary
+from fleetmeter.operators import calendar, facts, registry, reports, runs, summary
 from fleetmeter.operators.metrics import metrics_daily
 from fleetmeter.operators.usage import usage_facts
-from fleetmeter.plans.daily import Places
+from fleetmeter.plans.daily import Counters, Places
 from fleetmeter.plans.job import Landing, run_job
 from fleetmeter.plans.reports import UsageReports
 from fleetmeter.sources import config, samples, tables
@@ -143,7 +143,13 @@ def test_job_from_settings(spark, sf_dir, tmp_path, shared):
     assert not (tmp_path / "history").exists()
     run_job(spark, str(file), landing, places, v.START, "2024-01-19", now, csv)
     # No dates: yesterday in the reporting zone, where it is the 21st already.
-    result = run_job(spark, str(file), landing, places, now=now, csv_history=csv)
+    counters = Counters()
+    registry_before = tables.read_registry(spark, places.registry)
+    result = run_job(spark, str(file), landing, places, now=now, csv_history=csv, counters=counters)
+    valid = runs.valid_runs(v.nodes(spark, sf_dir), config.team_windows(companies), "2024-01-20", "2024-01-20", v.IGNORE_TAGS)
+    untagged = registry.untagged_count(registry.retag_latest(registry_before, companies, "latest")).first().removed
+    assert counters.values() == {"valid_runs": valid.count(), "untagged_runs": untagged}
+    assert untagged == companies.count() + 1
     history = tables.read_history(spark, places.history)
     # The first schedules begin on the 3rd.
     assert {str(r[0]) for r in history.select("date").distinct().collect()} == {f"2024-01-{d:02}" for d in range(3, 21)}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from fleetmeter.operators import runs
+from fleetmeter.operators.summary import with_previous_update
 from fleetmeter.operators.usage import usage_facts
 from fleetmeter.plans.reports import UsageReports
 from fleetmeter.sources import config
@@ -92,3 +95,14 @@ def test_facts_of_one_hot_company(spark, sf_dir):
     facts = usage_facts(v.run_days(spark, sf_dir), teams)
     distinct = v.run_days(spark, sf_dir).where("company_name <> 'guest'")
     assert facts.agg(F.sum("all_runs")).first()[0] == distinct.select("run_id").distinct().count()
+
+
+def test_whole_rows_are_shuffled_once_for_overlaps(spark, sf_dir):
+    """The payload takes part in one exchange; what crosses slices are their last rows."""
+    rows = v.run_days(spark, sf_dir).withColumn("payload", F.concat("run_id", "tags"))
+    flagged = with_previous_update(rows, ["company_name", "project", "host_name"], ["run_id", "date"])
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = flagged._jdf.queryExecution().explainString(mode)
+    inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan)
+    assert len(inputs) >= 3
+    assert sum("payload" in names for names in inputs) == 1
