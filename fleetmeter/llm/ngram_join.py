@@ -20,8 +20,8 @@ not for all pairs:
    positions in the list's order, and parity sketches of the sets. Each member gives its nearest few
    members of other components; more are asked for until no candidate is left out.
 
-Every candidate is tested on the whole sets. Components are found over the links of each turn on the
-roots of the last one. Hot shingles are folded in each slice of documents before they are counted, and long lists
+Every candidate is tested on the whole sets. Between turns, links give sets common roots, which need not be
+as few as the components; these are found once, over all links. Hot shingles are folded in each slice of documents before they are counted, and long lists
 are split into pairs of blocks.
 
 Defined cases: a null text has no words; texts without words are alone, each row its own component. Fewer words
@@ -52,7 +52,7 @@ LIGHT = range(0, 31)
 #: Cost of a subset row, of a shingle that is counted, and of an entry in a list.
 SUBSET, COUNTED, ENTRY = 3.0, 0.5, 3.0
 #: Shingles of one hash bucket on average, and text of one slice.
-BUCKET, SLICE = 2_000_000, 8 << 20
+BUCKET, SLICE = 1_000_000, 2 << 20
 #: Hubs are tried while so large a share of their candidates is similar.
 WORTHWHILE = 1 / 2
 #: Members of a block of a list, bits of a sketch, and the first number of candidates a member gives.
@@ -347,12 +347,17 @@ def _may_be_similar(n, m, left_n, left_m):
     return 9 * F.least(left_n, left_m) >= 4 * (n + m)
 
 
-def _joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """``roots`` (ref, root) after more links: components are found among the old roots."""
+def _nearer_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (ref, root) after more links: each old root goes to the smallest one it is linked to, and
+    on to where that one goes. Sets with one root are connected; connected sets may still have several,
+    which costs candidates, not results."""
     of = lambda c: roots.select(F.col("ref").alias(c), F.col("root").alias(f"r_{c}"))
-    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("r_a").alias("a"), F.col("r_b").alias("b"))
-    moved = components(between)
-    return staged(roots.join(moved, roots["root"] == moved["node"], "left").select("ref", F.coalesce(moved["root"], roots["root"]).alias("root")))
+    low = F.least("r_a", "r_b").alias("low")
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.explode(F.array("r_a", "r_b")).alias("old"), low)
+    moves = staged(between.groupBy("old").agg(F.min("low").alias("low")).where("old != low"))
+    further = moves.select(F.col("old").alias("low"), F.col("low").alias("lower"))
+    moves = moves.join(further, "low", "left").select("old", F.coalesce("lower", "low").alias("new"))
+    return staged(roots.join(moves, roots["root"] == moves["old"], "left").select("ref", F.coalesce("new", "root").alias("root")))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,7 +391,7 @@ class _Members:
 
 
 #: Pairs compared at once.
-PAIRS = 1 << 19
+PAIRS = 1 << 17
 
 
 def _nearest(limit: int):
@@ -444,12 +449,13 @@ def _open(entries: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def list_links(sets: DataFrame, entries: DataFrame) -> DataFrame:
-    """ref and root of the sets in lists: the smallest ref that is reached over similar pairs."""
+    """Links a, b (refs) between similar sets, enough of them to connect all that are connected."""
     roots = staged(entries.select("ref").distinct().select("ref", F.col("ref").alias("root")))
-    turn = 0
+    links, turn = None, 0
     while True:
         opened = staged(_open(entries, roots))
-        order = F.xxhash64("ref", F.lit(turn)).alias("order")
+        # At first the smallest: one step then gives all it is similar to one root.
+        order = (F.xxhash64("ref", F.lit(turn)) if turn else F.col("ref")).alias("order")
         hubs = opened.groupBy("token").agg(F.min(F.struct(order, "ref", "root", "n", "left")).alias("hub"))
         facing = opened.join(hubs, "token").where(
             (F.col("root") != F.col("hub.root")) & _may_be_similar(F.col("n"), F.col("hub.n"), F.col("left"), F.col("hub.left"))
@@ -458,8 +464,9 @@ def list_links(sets: DataFrame, entries: DataFrame) -> DataFrame:
         pairs = staged(facing.groupBy("ref").agg(F.min("hub").alias("hub")).select(F.col("ref").alias("a"), F.col("hub.ref").alias("b")))
         found = staged(_similar(pairs, sets))
         tested, similar = pairs.count(), found.count()
+        links = found if links is None else links.unionByName(found)
         if similar:
-            roots = _joined_roots(roots, found)
+            roots = _nearer_roots(roots, found)
         if not tested or similar < WORTHWHILE * tested:
             break
         turn += 1
@@ -478,10 +485,11 @@ def list_links(sets: DataFrame, entries: DataFrame) -> DataFrame:
         near = staged(sorted_rows.mapInArrow(_nearest(limit), "a bigint, b bigint, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
         fresh = near if done is None else near.join(done, ["a", "b"], "left_anti")
         found = staged(_similar(fresh.select("a", "b"), sets))
-        if found.count():
-            roots = _joined_roots(roots, found)
+        links = links.unionByName(found)
         if not near.where("more").limit(1).count():
-            return roots
+            return links
+        if found.count():
+            roots = _nearer_roots(roots, found)
         tested = near.select("a", "b")
         done = staged(tested if done is None else done.unionByName(tested).distinct())
         limit *= 8
@@ -497,10 +505,10 @@ def heavy_links(texts: DataFrame, nodes: DataFrame, total: int, boundary: int) -
     entries = entries.select("token", "ref", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("left"))
     lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
     entries = staged(entries.join(lists, "token", "left_semi"))
-    roots = list_links(sets, entries).where("ref != root")
+    links = list_links(sets, entries)
     names = kept.join(nodes.select("hi", "lo", "node"), ["hi", "lo"]).select("ref", "node")
-    of = lambda c, name: names.select(F.col("ref").alias(c), F.col("node").alias(name))
-    return roots.join(of("ref", "a"), "ref").join(of("root", "b"), "root").select("a", "b")
+    of = lambda c: names.select(F.col("ref").alias(c), F.col("node").alias(f"n_{c}"))
+    return links.join(of("a"), "a").join(of("b"), "b").select(F.col("n_a").alias("a"), F.col("n_b").alias("b"))
 
 
 def similar_sets(docs: DataFrame) -> DataFrame:
