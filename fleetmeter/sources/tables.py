@@ -155,6 +155,14 @@ def spread_writers(df: DataFrame, column: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), column)
 
 
+def clustered(df: DataFrame, column: str) -> DataFrame:
+    """Rows of one value of ``column`` together, many values to a file.
+
+    AQE lets small values share a writer and splits a value with very many rows, by size.
+    """
+    return df.hint("rebalance", column).sortWithinPartitions(column)
+
+
 def write_ordered(df: DataFrame, path: str, *order: str | Column) -> None:
     """Parquet whose files, taken by name, hold the rows in ``order``.
 
@@ -201,8 +209,8 @@ def write_registry(df: DataFrame, path: str, keep: int = 10) -> None:
 
 
 def read_published(spark: SparkSession, root: str, table: str, schema: StructType, by_company: bool) -> DataFrame:
-    """A published table with the columns of its partitions as text: ``run``, and ``company`` if
-    it is written by company. A company named 12 stays text."""
+    """A published table with its owners as text: ``run``, and ``company`` if it is written by
+    company. A run or company named 12 stays text."""
     names = ["run", *(["company"] if by_company else [])]
     stated = StructType([f for f in schema.fields if f.name not in (*names, "published_by")])
     for name in ("published_by", *names):

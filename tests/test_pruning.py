@@ -136,3 +136,16 @@ def test_published_runs_are_pruned_and_text_stays_text(spark, tmp_path):
     assert "dynamicpruning" in plan_of(newest).lower()
     assert rows(newest.select("company", "rate", "run"), "company") == [("007", 2.5, "Tables_2024-01-02"), ("12", 1.5, "Tables_2024-01-02")]
     assert published.count() == 4
+
+
+def test_published_files_do_not_grow_with_the_companies(spark, tmp_path):
+    names = [*[f"c{i}" for i in range(300)], "", None]
+    table = spark.createDataFrame([(c, d) for c in names for d in range(3)], "company string, d int")
+    publish({"t": table}, str(tmp_path), "Tables_1", by_company=True)
+    assert 0 < len(list((tmp_path / "t" / "run=Tables_1").rglob("*.parquet"))) <= 4
+    published = tables.read_published(spark, str(tmp_path), "t", table.schema, by_company=True)
+    assert same(published.select(table.columns), table)
+    assert {tuple(r) for r in published.where("company = 'c7'").collect()} == {(d, "Tables_1/c7", "c7", "Tables_1") for d in range(3)}
+    # A company's rows lie together in one file.
+    files_of = spark.read.parquet(f"{tmp_path}/t").select("company", F.input_file_name()).distinct()
+    assert files_of.count() == len(names)
