@@ -244,6 +244,14 @@ def test_contexts_grow_with_the_corpus():
     assert kept == sorted(kept) and kept[-1] > 10 * kept[1]
 
 
+def test_contexts_follow_one_formula_at_every_size():
+    sizes = [1 << n for n in range(10, 46, 5)]
+    kept = [n / lm_score.least_count(n) for n in sizes]
+    assert all(a < b for a, b in zip(kept, kept[1:]))
+    # The cubes lie on one line, so there is no size at which another rule begins.
+    assert [k**3 - kept[0] ** 3 for k in kept[1:]] == pytest.approx([(n - sizes[0]) * 2.0**21 for n in sizes[1:]], rel=1e-3)
+
+
 def test_mixing_deviates_less_than_a_block(docs):
     rows = mixing.interleave(docs, period=100, block_chars=50).collect()
     assert len(rows) == len(ROWS)
