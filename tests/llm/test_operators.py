@@ -6,8 +6,10 @@ import hashlib
 import math
 import re
 from collections import Counter
+from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -239,6 +241,103 @@ def test_score_is_that_of_context_tree_weighting(spark):
         assert got == pytest.approx({i: score(t) for i, t in enumerate(scored)}, rel=2e-4)
 
 
+def context_tree_scores(texts, scored, depth=5) -> list[float]:
+    """Context-tree weighting by its definition, from the counts of all contexts."""
+    grams: Counter = Counter()
+    for text in texts:
+        padded = b"\n" * depth + coded(text)
+        grams.update(padded[i : i + depth + 1] for i in range(len(padded) - depth))
+    seen: dict[tuple, list[int]] = {}
+    longer: dict[tuple, set] = {}
+    for gram, times in grams.items():
+        path = 256 | gram[-1]
+        for shift in range(8, 0, -1):
+            for d in range(depth + 1):
+                at = gram[depth - d : depth], path >> shift
+                seen.setdefault(at, [0, 0])[path >> (shift - 1) & 1] += times
+                if d < depth:
+                    longer.setdefault(at, set()).add((gram[depth - d - 1 : depth], path >> shift))
+
+    def log_kt(at) -> float:
+        n = seen.get(at, [0, 0])
+        return math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.log(math.pi) - math.lgamma(sum(n) + 1)
+
+    @cache
+    def weighted(at) -> float:
+        if len(at[0]) == depth:
+            return log_kt(at)
+        return math.log(0.5) + float(np.logaddexp(log_kt(at), sum(weighted(x) for x in longer.get(at, ()))))
+
+    def one(history: bytes, node: int, d: int = 0) -> float:
+        at = history[depth - d :], node
+        n = seen.get(at, [0, 0])
+        p = (n[1] + 0.5) / (sum(n) + 1)
+        if d == depth:
+            return p
+        stop = math.exp(math.log(0.5) + log_kt(at) - weighted(at))
+        return stop * p + (1 - stop) * one(history, node, d + 1)
+
+    out = []
+    for text in scored:
+        padded, total = b"\n" * depth + coded(text), 0.0
+        for i in range(depth, len(padded)):
+            path = 256 | padded[i]
+            for shift in range(8, 0, -1):
+                p = one(padded[i - depth : i], path >> shift)
+                total += math.log10(p if path >> (shift - 1) & 1 else 1 - p)
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("held", [None, 1e-9])
+def test_contexts_that_are_seen_once_count(spark, monkeypatch, held):
+    """Of 120 KB of text, with all keys in the scoring tasks' memory and with none."""
+    if held:
+        monkeypatch.setattr(lm_score, "HELD", held)
+    texts = ["The cat sat on the mat " * 2600, "the dog ate it " * 4000, "quizzing vexes jumbled fjords", "é quizzing ü", None, ""]
+    scored = ["quizzing vexes", "jumbled cat", "é quizzing ü", "the quizzical dog", "ZZZ zzz zzz zzz", "ß ß", "", None]
+    table = lambda x: spark.createDataFrame(list(enumerate(x)), "doc_id int, text string")
+    got = {r.doc_id: r.score for r in lm_score.score_texts(table(scored), table(texts)).collect()}
+    assert got == pytest.approx(dict(enumerate(context_tree_scores(texts, scored))), rel=1e-5)
+
+
+def test_training_by_condition_is_training_on_those_rows(spark):
+    rows = [(i, text, i % 3 > 0 if i % 7 else None) for i, text in enumerate(TEXTS * 2)]
+    table = spark.createDataFrame(rows, "doc_id int, text string, learn boolean").repartition(3)
+    a = lm_score.score_texts(table, "learn", ("doc_id", "learn")).collect()
+    b = lm_score.score_texts(table, table.where("learn"), ("doc_id", "learn")).collect()
+    figures = lambda x: {r.doc_id: pytest.approx(r[2:], rel=1e-6) for r in x}
+    assert len(a) == len(rows) and {r.doc_id: r[2:] for r in a} == figures(b)
+
+
+def test_keys_are_weighed_whole_contexts_at_a_time(monkeypatch):
+    rng = np.random.default_rng(2)
+    key = np.unique(rng.integers(97, 100, (3000, 6)) @ (1 << np.arange(40, -1, -8)))
+    key[: len(key) // 2] = np.arange(len(key) // 2)  # one long subtree
+    n = rng.integers(0, 5, len(key))
+    table = pa.table({"key": key, "n": n, "seen": n + 1})
+
+    def weighed(batch: int) -> tuple[dict, dict]:
+        rows = pa.Table.from_batches(lm_score._weigh(5, 2)(iter(table.to_batches(batch)))).to_pylist()
+        sums: Counter = Counter()
+        for r in rows:
+            if r["chances"] is None:
+                sums[r["key"]] += r["weighted"]
+        return {r["key"]: (r["seen"], *r["chances"]) for r in rows if r["chances"] is not None}, sums
+
+    chances, sums = weighed(len(key))
+    monkeypatch.setattr(lm_score, "WEIGHED", 20)
+    again, sums_again = weighed(7)
+    assert again == chances and len(chances) == len(key)
+    assert sums_again == pytest.approx(sums)
+
+
+def test_log_kt_of_large_counts():
+    n = np.array([0.0, 1, 7, 8, 65535, 65536, 1e9])
+    by_definition = [math.lgamma(x + 0.5) + math.lgamma(3.5) - math.log(math.pi) - math.lgamma(x + 4) for x in n]
+    assert lm_score._log_kt(n, np.full(len(n), 3.0)) == pytest.approx(by_definition, abs=1e-5)
+
+
 def test_contexts_grow_with_the_corpus():
     kept = [total / lm_score.least_count(total) for total in (10**6, 10**8, 10**9, 10**10, 10**13)]
     assert kept == sorted(kept) and kept[-1] > 10 * kept[1]
